@@ -69,10 +69,29 @@ def unique_violations(df: DataFrame, column: str, key: str) -> DataFrame:
     return pairs.groupBy(column).agg(F.count(F.lit(1)).alias("keys")).where(F.col("keys") > 1)
 
 
+def batch_conflicts(stored: DataFrame, batch: DataFrame, column: str, key: str) -> DataFrame:
+    """Violations a batch would cause if merged, found before anything is written.
+
+    Only stored rows sharing a value with the batch are looked at, less those whose key the batch
+    itself replaces.
+    """
+    arriving = batch.select(column, key).where(F.col(column).isNotNull())
+    kept = (
+        stored.select(column, key)
+        .join(arriving.select(column), column, "left_semi")
+        .join(batch.select(key), key, "left_anti")
+    )
+    return unique_violations(kept.unionByName(arriving), column, key)
+
+
 class UniqueViolation(ValueError):
     """A merge would give one value of a unique column to two keys."""
 
 
-def assert_unique(df: DataFrame, column: str, key: str) -> None:
-    if not unique_violations(df, column, key).isEmpty():
-        raise UniqueViolation(f"{column} is not unique")
+def assert_no_conflicts(stored: DataFrame | None, batch: DataFrame, column: str, key: str) -> None:
+    if stored is None:
+        found = unique_violations(batch, column, key)
+    else:
+        found = batch_conflicts(stored, batch, column, key)
+    if not found.isEmpty():
+        raise UniqueViolation(f"{column} would belong to more than one {key}")

@@ -86,7 +86,7 @@ def fact_order_items(items: DataFrame, orders: DataFrame, as_of: Column | None =
     """
     lines = items.select("item_id", "order_id", "product_id", "quantity", "unit_price")
     heads = orders.select("order_id", "customer_id", "order_date", "status")
-    return lines.join(heads, "order_id").select(
+    return with_line_amount(lines).join(heads, "order_id").select(
         "item_id",
         "order_id",
         "customer_id",
@@ -96,7 +96,7 @@ def fact_order_items(items: DataFrame, orders: DataFrame, as_of: Column | None =
         "order_date",
         "quantity",
         "unit_price",
-        _line_amount().alias("line_amount"),
+        "line_amount",
         _loaded(as_of),
     )
 
@@ -179,6 +179,15 @@ def order_totals(fact: DataFrame) -> DataFrame:
     return fact.groupBy("order_id").agg(F.sum("line_amount").cast("decimal(38,2)").alias("order_total"))
 
 
+def with_line_amount(items: DataFrame) -> DataFrame:
+    return items.withColumn("line_amount", _line_amount())
+
+
+def accepted_order_totals(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The same totals straight from the cleaned items: summed per order before orders are joined."""
+    return order_totals(with_line_amount(items)).join(orders.select("order_id"), "order_id", "left_semi")
+
+
 def status_rollup(orders: DataFrame) -> DataFrame:
     return orders.groupBy("status").agg(
         F.count(F.lit(1)).alias("order_count"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from brookmark.operators.clean import SILVER_MODELS
 from brookmark.operators.merge import prepare_batch
@@ -17,9 +18,8 @@ def silver_table(spark: SparkSession, root: str, spec: TableSpec, width: int = 1
     return SlotTable(spark, f"{root.rstrip('/')}/silver/{spec.name}", spec.primary_key, width)
 
 
-def silver_batch(spark: SparkSession, root: str, spec: TableSpec, day: str | None = None) -> DataFrame:
+def silver_batch(landed: DataFrame, spec: TableSpec) -> DataFrame:
     """Cleaned rows of one landed day, each key once (the newest version, then the newest run)."""
-    landed = read_bronze_day(spark, f"{root}/bronze", spec, day)
     newest = prepare_batch(landed, spec.primary_key, spec.cursor_column, ["run_id"])
     return SILVER_MODELS[spec.name](newest)
 
@@ -30,11 +30,14 @@ def transform_day(spark: SparkSession, root: str, spec: TableSpec, day: str | No
 
     With the guard, a rerun of an older day cannot overwrite newer rows.
     """
-    batch = silver_batch(spark, root, spec, day)
-    if batch.isEmpty():
+    landed = read_bronze_day(spark, f"{root}/bronze", spec, day)
+    if landed.isEmpty():
         return False
     silver_table(spark, root, spec).merge(
-        batch, SILVER_UPDATE_COLUMNS[spec.name], version="updated_at" if guard else None
+        silver_batch(landed, spec),
+        SILVER_UPDATE_COLUMNS[spec.name],
+        version="updated_at" if guard else None,
+        keys=landed.where(F.col(spec.primary_key).isNotNull()),
     )
     return True
 

@@ -8,9 +8,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from brookmark.operators import clean, star
-from brookmark.operators.merge import assert_unique, prepare_batch
+from brookmark.operators.merge import assert_no_conflicts, prepare_batch
 from brookmark.sources.bronze import write_bronze
-from brookmark.sources.extract import assert_pk_not_null, extract_incremental
+from brookmark.sources.extract import extract_incremental, guard_keys
 from brookmark.sources.tables import SlotTable, materialize
 from brookmark.specs import CATALOG, TableSpec
 
@@ -50,12 +50,13 @@ def ingest(spark: SparkSession, source: DataFrame, root: str, spec: TableSpec,
            logical_time: datetime) -> int:
     """One incremental load of a table into the landing area and the raw layer; rows synced.
 
-    The landed files are read back for the merge, so the source is read once.
+    A row without a key fails the landing write before anything is committed. The landed files
+    are read back for the merge, so the source is read once.
     """
     raw = raw_table(spark, root, spec)
     stored = raw.read() if raw.exists() else None
     fresh = extract_incremental(source, stored, spec)
-    loaded = write_bronze(fresh, f"{root}/bronze", spec, logical_time)
+    loaded = write_bronze(guard_keys(fresh, spec), f"{root}/bronze", spec, logical_time)
     synced = loaded.get["rows_synced"]
     if synced == 0:
         return 0
@@ -63,11 +64,10 @@ def ingest(spark: SparkSession, source: DataFrame, root: str, spec: TableSpec,
         f"{root.rstrip('/')}/bronze/{spec.name}_source/ingest_date={logical_time:%Y-%m-%d}"
         f"/run_id={logical_time:%Y%m%dT%H%M%S}"
     )
-    assert_pk_not_null(landed, spec)
     batch = prepare_batch(landed, spec.primary_key, spec.cursor_column)
-    raw.merge(batch, spec.update_columns, version=None)
     for column in spec.unique_columns:
-        assert_unique(raw.read(), column, spec.primary_key)
+        assert_no_conflicts(stored, batch, column, spec.primary_key)
+    raw.merge(batch, spec.update_columns, version=None, keys=landed)
     return synced
 
 

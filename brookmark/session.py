@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "brookmark", master: str | None = None, **conf: str) -> SparkSession:
@@ -17,6 +17,8 @@ def build_session(app: str = "brookmark", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a skewed join even where that costs the next operator a shuffle of its own
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.compression.codec": "snappy",
         **conf,
@@ -29,6 +31,12 @@ def build_session(app: str = "brookmark", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def stored(df: DataFrame, folder: str) -> DataFrame:
+    """Write a frame that several later jobs read, and read it back from the shared folder."""
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for streaming checkpoints and staged tables.
 

@@ -47,6 +47,13 @@ def jdbc_reader(url: str, lower: int, upper: int, partitions: int, **options: st
     return read
 
 
+def key_bounds(spark: SparkSession, url: str, spec: TableSpec, **options: str) -> tuple[int, int]:
+    """Smallest and largest primary key of a row-store table, for the ranges of jdbc_reader."""
+    query = f"SELECT min({spec.primary_key}) AS lo, max({spec.primary_key}) AS hi FROM {spec.name}"
+    row = jdbc_query(spark, url, query, **options).first()
+    return row["lo"], row["hi"]
+
+
 def jdbc_query(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
     """Read-only query against an external row store; paging happens inside the source."""
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()

@@ -131,14 +131,17 @@ class SlotTable:
         return self.spark.read.parquet(self.path).where(F.col("slot").isin(slots)).drop("slot")
 
     def merge(self, updates: DataFrame, update_columns: tuple[str, ...],
-              version: str | None = "updated_at") -> None:
-        """Keyed upsert of a batch that holds each key once."""
+              version: str | None = "updated_at", keys: DataFrame | None = None) -> None:
+        """Keyed upsert of a batch that holds each key once.
+
+        ``keys`` may name a cheaper frame with at least the batch's keys, such as the landed rows
+        it was made from, to find the touched slots without working the batch out twice.
+        """
         if not self.exists():
             self.write(updates)
             return
-        self.write(
-            merge_upsert(self.touched(updates), updates, self.key, update_columns, version=version)
-        )
+        stored = self.touched(updates if keys is None else keys)
+        self.write(merge_upsert(stored, updates, self.key, update_columns, version=version))
 
 
 class SnapshotTable:

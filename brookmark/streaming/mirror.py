@@ -74,7 +74,7 @@ class Mirror:
         if not self.base.exists():
             self.base.write(news)
             return
-        stored = self.base.touched(news).select(*news.columns)
+        stored = self.base.touched(log).select(*news.columns)
         self.base.write(collapse(stored.unionByName(news), self.spec))
 
     def compacted_batches(self, upto: int) -> DataFrame:

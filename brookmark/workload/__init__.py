@@ -23,6 +23,7 @@ def _plain(df: DataFrame) -> DataFrame:
 def _runner(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         return _plain(build(spark, sf_dir))
 
     return run

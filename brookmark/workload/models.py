@@ -108,7 +108,9 @@ QUERIES = {
     "silver_customers": _silver("customers"),
     "silver_products": _silver("products"),
     "silver_order_items": _silver("order_items"),
-    "order_totals": lambda spark, d: star.order_totals(_model("gold.fact_order_items")(spark, d)),
+    "order_totals": lambda spark, d: star.accepted_order_totals(
+        clean.order_items_clean(fixture.order_items(spark, d)), _clean_orders(spark, d)
+    ),
     "status_rollup": lambda spark, d: star.status_rollup(
         clean.silver_orders(fixture.orders(spark, d))
     ),
