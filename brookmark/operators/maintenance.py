@@ -144,9 +144,8 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES,
             _decoded(F.regexp_replace(file_path, "/[^/]+$", "")).alias("_folder"),
             F.xxhash64(file_path, F.col("_metadata.row_index")).alias("_deal"),
         )
-        .join(plan.withColumn("_folder", _decoded(F.regexp_replace("folder", "^file:/+", "file:///"))),
-              "_folder")
-        .withColumn("_file", F.pmod(F.col("_deal"), F.col("need")))
+        .join(plan, F.col("_folder") == F.col("folder"), "left")
+        .withColumn("_file", F.pmod(F.col("_deal"), F.coalesce("need", F.lit(1))))
     )
     for name in columns:
         value = _decoded(F.regexp_extract("_folder", f"/{name}=([^/]*)", 1))

@@ -66,6 +66,7 @@ GOLD_CHECKS = [
     *_reference("gold.fact_order_items", "order_date_day", "gold.dim_date", "date_day"),
     *_present("gold.fact_order_items", "quantity"),
     _at_least("gold.fact_order_items", "quantity", 1),
+    *_present("gold.fact_order_items", "line_amount", "order_status"),
     _at_least("gold.fact_order_items", "line_amount", 0),
     _status("gold.fact_order_items", "order_status"),
     *_key("gold.dim_customer", "customer_id"),
