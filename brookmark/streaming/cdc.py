@@ -19,22 +19,21 @@ def parse_cdc(df: DataFrame, spec: TableSpec, nulls: str = "default") -> DataFra
     One typed parse of the envelope: deletes take the ``before`` image, everything else ``after``.
     Empty, unparsable and image-less messages are dropped. Money is read as an exact decimal.
     Other input columns (``seq``) are kept.
+
+    Image-less messages fall out as empty arrays in ``explode``. A filter on the image would be
+    moved below the projection and parse every message again for each field it looks at.
     """
-    message = F.from_json("value", spec.envelope_schema.simpleString())
-    parsed = df.where(F.length("value") > 0).withColumn("_msg", message)
+    rest = [c for c in df.columns if c != "value"]
+    parsed = df.select(*rest, F.from_json("value", spec.envelope_schema.simpleString()).alias("_msg"))
     deleted = F.coalesce(F.col("_msg.op") == "d", F.lit(False))
+    image = F.when(deleted, F.col("_msg.before")).otherwise(F.col("_msg.after"))
     rows = parsed.select(
-        *[c for c in df.columns if c != "value"],
-        F.when(deleted, F.col("_msg.before")).otherwise(F.col("_msg.after")).alias("_row"),
+        *rest,
         F.coalesce("_msg.ts_ms", F.lit(0)).cast("long").alias(VERSION),
         deleted.alias(DELETED),
-    ).where(F.col("_row").isNotNull())
-    return rows.select(
-        *decode_columns("_row", spec, nulls),
-        VERSION,
-        DELETED,
-        *[c for c in df.columns if c != "value"],
+        F.explode(F.when(image.isNotNull(), F.array(image))).alias("_row"),
     )
+    return rows.select(*decode_columns("_row", spec, nulls), VERSION, DELETED, *rest)
 
 
 def _order(df: DataFrame, spec: TableSpec) -> list[str]:
