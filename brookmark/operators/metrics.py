@@ -217,7 +217,7 @@ def rate(df: DataFrame, ts: str, series: str | Sequence[str], value: str, window
 
 
 def hold(df: DataFrame, ts: str, series: str | Sequence[str], condition: Column, duration: int,
-         slice_seconds: int = 86_400) -> DataFrame:
+         slice_seconds: int = 3_600) -> DataFrame:
     """Stretches in which a condition stayed true for at least ``duration`` seconds.
 
     All true samples after the same last false sample form one stretch, so stretches are plain

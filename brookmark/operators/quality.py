@@ -165,12 +165,15 @@ def verdict(report: DataFrame) -> DataFrame:
 
 
 def replica_checks(source: DataFrame, replica: DataFrame, key: str, deleted: DataFrame,
-                   expected_status: DataFrame) -> DataFrame:
+                   expected_status: DataFrame, scope: Column | None = None) -> DataFrame:
     """Replica equality after a batch of changes, as report rows.
 
     ``deleted`` holds keys that must be gone, ``expected_status`` keys with the status they must
-    show. On an empty replica both are SKIP.
+    show. On an empty replica both are SKIP. ``scope`` limits both sides, for a replica that still
+    holds rows of an earlier source (such as ``order_id <= n``).
     """
+    if scope is not None:
+        source, replica = source.where(scope), replica.where(scope)
     rows = replica.agg(F.count(F.lit(1)).alias("n"))
     counted = source.agg(F.count(F.lit(1)).alias("n"))
     still_there = select_keys(replica, key, deleted).agg(F.count(F.lit(1)).alias("n"))

@@ -54,7 +54,7 @@ def ingest(spark: SparkSession, source: DataFrame, root: str, spec: TableSpec,
     are read back for the merge, so the source is read once.
     """
     raw = raw_table(spark, root, spec)
-    stored = raw.read() if raw.exists() else None
+    stored = raw.read_or_none()
     fresh = extract_incremental(source, stored, spec)
     loaded = write_bronze(guard_keys(fresh, spec), f"{root}/bronze", spec, logical_time)
     synced = loaded.get["rows_synced"]

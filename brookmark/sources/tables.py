@@ -97,14 +97,18 @@ class SlotTable:
             return F.floor(key / F.lit(self.width)).cast("long")
         return F.pmod(F.xxhash64(key), F.lit(self.slots))
 
-    def exists(self) -> bool:
+    def _open(self) -> DataFrame | None:
+        """The stored rows with their slot, or None before the first write; lists files once."""
         try:
-            self.spark.read.parquet(self.path)
+            return self.spark.read.parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
+                return None
             raise
-        return True
+
+    def read_or_none(self) -> DataFrame | None:
+        rows = self._open()
+        return None if rows is None else rows.drop("slot")
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).drop("slot")
@@ -121,14 +125,17 @@ class SlotTable:
             .parquet(self.path)
         )
 
-    def touched(self, updates: DataFrame) -> DataFrame:
-        """Stored rows of the slots an update batch falls into (a pruned scan).
+    def touched(self, updates: DataFrame) -> DataFrame | None:
+        """Stored rows of the slots an update batch falls into (a pruned scan); None if no table.
 
         The collected list is a set of folder names, never longer than the table has folders
         plus the new ones of this batch.
         """
+        rows = self._open()
+        if rows is None:
+            return None
         slots = [r[0] for r in updates.select(self._slot(updates).alias("s")).distinct().collect()]
-        return self.spark.read.parquet(self.path).where(F.col("slot").isin(slots)).drop("slot")
+        return rows.where(F.col("slot").isin(slots)).drop("slot")
 
     def merge(self, updates: DataFrame, update_columns: tuple[str, ...],
               version: str | None = "updated_at", keys: DataFrame | None = None) -> None:
@@ -137,10 +144,10 @@ class SlotTable:
         ``keys`` may name a cheaper frame with at least the batch's keys, such as the landed rows
         it was made from, to find the touched slots without working the batch out twice.
         """
-        if not self.exists():
+        stored = self.touched(updates if keys is None else keys)
+        if stored is None:
             self.write(updates)
             return
-        stored = self.touched(updates if keys is None else keys)
         self.write(merge_upsert(stored, updates, self.key, update_columns, version=version))
 
 

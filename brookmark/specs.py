@@ -123,6 +123,14 @@ class TableSpec:
             ]
         )
 
+    def ddl(self, layer: str = "raw") -> str:
+        """CREATE TABLE text of the stored table; uniqueness is checked on load, not declared."""
+        lines = ", ".join(
+            f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
+            for f in self.schema.fields
+        )
+        return f"CREATE TABLE IF NOT EXISTS {layer}.{self.name}_source ({lines}) USING parquet"
+
     def topic(self, prefix: str = "cdc", source_schema: str = "public") -> str:
         return f"{prefix}.{source_schema}.{self.name}"
 

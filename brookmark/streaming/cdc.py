@@ -36,16 +36,17 @@ def parse_cdc(df: DataFrame, spec: TableSpec, nulls: str = "default") -> DataFra
     return rows.select(*decode_columns("_row", spec, nulls), VERSION, DELETED, *rest)
 
 
-def _order(df: DataFrame, spec: TableSpec) -> list[str]:
-    """Tie order below the version: arrival, deletes last, then content to make it total."""
-    arrival = [c for c in ("batch_id", "seq") if c in df.columns]
+def tie_order(columns: list[str], spec: TableSpec) -> list[str]:
+    """Columns that rank versions, highest first: version, arrival, deletes, then content."""
+    arrival = [c for c in ("batch_id", "seq") if c in columns]
     rest = [c for c in spec.column_names if c != spec.primary_key]
-    return [*arrival, DELETED, *rest]
+    return [VERSION, *arrival, DELETED, *rest]
 
 
 def collapse(versions: DataFrame, spec: TableSpec) -> DataFrame:
     """Newest version of every key, tombstones included."""
-    return latest_by_key(versions, spec.primary_key, VERSION, _order(versions, spec))
+    first, *ties = tie_order(versions.columns, spec)
+    return latest_by_key(versions, spec.primary_key, first, ties)
 
 
 def current(versions: DataFrame, spec: TableSpec) -> DataFrame:

@@ -59,10 +59,8 @@ class Mirror:
 
     def versions(self) -> DataFrame:
         """Every stored version, collapsed or not."""
-        log = self._log()
-        if not self.base.exists():
-            return log
-        return self.base.read().select(*log.columns).unionByName(log)
+        log, base = self._log(), self.base.read_or_none()
+        return log if base is None else base.select(*log.columns).unionByName(log)
 
     def current(self) -> DataFrame:
         return current(self.versions(), self.spec)
@@ -71,11 +69,10 @@ class Mirror:
         """Fold log batches into the base, rewriting only the key slots they touch."""
         log = self._log() if upto is None else self._log().where(F.col("batch_id") <= upto)
         news = collapse(log, self.spec)
-        if not self.base.exists():
-            self.base.write(news)
-            return
-        stored = self.base.touched(log).select(*news.columns)
-        self.base.write(collapse(stored.unionByName(news), self.spec))
+        stored = self.base.touched(log)
+        if stored is not None:
+            news = collapse(stored.select(*log.columns).unionByName(log), self.spec)
+        self.base.write(news)
 
     def compacted_batches(self, upto: int) -> DataFrame:
         """Log folders that a compaction up to a batch has made redundant."""

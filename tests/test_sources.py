@@ -173,14 +173,14 @@ def test_snapshot_table_versions(spark, tmp_path):
 
 def test_silver_upsert_creates_then_needs_row_level_operations(spark):
     rows = orders(spark, order(1), order(2, "shipped"))
-    assert not silver_upsert(rows.limit(0), "lake.orders", "order_id", ("status",), "status")
-    assert silver_upsert(rows, "lake.orders", "order_id", ("status",), "status")
-    assert spark.table("lake.orders").count() == 2
+    assert not silver_upsert(rows.limit(0), "silver.orders", "order_id", ("status",), "status")
+    assert silver_upsert(rows, "silver.orders", "order_id", ("status",), "status")
+    assert spark.table("silver.orders").count() == 2
     # plain parquet tables have no MERGE; SlotTable is the way there
-    with pytest.raises(PySparkException):
-        merge_into_catalog(rows, "lake.orders", "order_id", ("status",))
-    create_table(rows, "lake.plain")
-    assert spark.table("lake.plain").count() == 2
+    with pytest.raises(PySparkException, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
+        merge_into_catalog(rows, "silver.orders", "order_id", ("status",))
+    create_table(rows, "silver.plain")
+    assert spark.table("silver.plain").count() == 2
 
 
 def test_explicit_deletion(spark, tmp_path):
