@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,18 +14,29 @@ from brookmark.sources.files import list_files
 TARGET_BYTES = 128 * 1024 * 1024
 
 
-def prune_partitions(listing: DataFrame, now: datetime, days: int = 7, path: str = "path") -> DataFrame:
+def dated_folder(path: Column) -> Column:
+    """Day of a ``<table>_source/yyyy/mm/dd/<file>`` path; NULL for anything else."""
+    parts = F.split(path, "/")
+    day = day_from_parts(F.get(parts, F.lit(1)), F.get(parts, F.lit(2)), F.get(parts, F.lit(3)))
+    return F.when(F.size(parts) >= 4, day)
+
+
+def ingest_folder(path: Column) -> Column:
+    """Day of a path under an ``ingest_date=<day>`` folder; NULL for anything else."""
+    return F.regexp_extract(path, "/ingest_date=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1).try_cast("date")
+
+
+def prune_partitions(listing: DataFrame, now: datetime, days: int = 7, path: str = "path",
+                     day_of: Callable[[Column], Column] = dated_folder) -> DataFrame:
     """Landed objects whose day folder began more than ``days`` days ago.
 
-    Paths look like ``<table>_source/yyyy/mm/dd/<file>``; anything without a valid day is left
-    alone, and zero days switches retention off. Nothing is deleted here.
+    Anything without a valid day is left alone, and zero days switches retention off. Nothing is
+    deleted here.
     """
     if days <= 0:
         return listing.limit(0)
-    parts = F.split(F.col(path), "/")
-    day = day_from_parts(F.get(parts, F.lit(1)), F.get(parts, F.lit(2)), F.get(parts, F.lit(3)))
     cutoff = F.lit(now - timedelta(days=days)).cast("timestamp")
-    dated = listing.withColumn("partition_day", F.when(F.size(parts) >= 4, day))
+    dated = listing.withColumn("partition_day", day_of(F.col(path)))
     return dated.where(F.col("partition_day").cast("timestamp") < cutoff)
 
 
@@ -118,12 +130,13 @@ def _folder_columns(folder: str, root: str) -> list[str]:
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES,
-            out: str | None = None) -> int:
+            out: str | None = None, order_by: str | None = None) -> int:
     """Rewrite the folders that hold more files than their size needs; returns how many.
 
     Folders of a partitioned table are replaced in place through dynamic partition overwrite.
     An unpartitioned table cannot be replaced while it is read and is written to ``out``. Rows
-    are dealt to files by their position in the old files, so equal rows never pile up.
+    are dealt to files by their position in the old files, so equal rows never pile up, and may
+    be ordered within each file.
     """
     need = F.greatest(F.ceil(F.col("bytes") / F.lit(target_bytes)), F.lit(1)).cast("int")
     todo = [
@@ -152,6 +165,8 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES,
         rows = rows.withColumn(name, F.when(value != "__HIVE_DEFAULT_PARTITION__", value))
     total = sum(n for _, n in todo)
     rows = rows.repartition(total, "_folder", "_file").drop("_folder", "folder", "_deal", "need", "_file")
+    if order_by:
+        rows = rows.sortWithinPartitions(*columns, order_by)
     writer = rows.write.mode("overwrite")
     if columns:
         writer.partitionBy(*columns).option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -176,7 +176,7 @@ def counter_deltas(df: DataFrame, ts: str, series: str | Sequence[str], value: s
 
 
 def increase(df: DataFrame, ts: str, series: str | Sequence[str], value: str, window: int,
-             slices_per_window: int = 4) -> DataFrame:
+             slices_per_window: int = 12) -> DataFrame:
     """Counter growth over the last ``window`` seconds at every sample, restarts included.
 
     Growth enters a running sum at its sample and leaves it just after ``ts + window``, which
@@ -262,9 +262,11 @@ def predict_linear(df: DataFrame, ts: str, series: str | Sequence[str], value: s
     """
     keys = _names(series)
     end = F.lit(at).cast("timestamp") if at else df.agg(F.max(ts).cast("timestamp")).scalar()
-    age = seconds_between(F.col(ts), end)
-    recent = df.where((age >= -lookback) & (age <= 0)).select(
-        *keys, age.alias("_x"), F.col(value).cast("double").alias("_y")
+    start = end - F.expr(f"interval {lookback} seconds")
+    recent = df.where(F.col(ts).between(start, end)).select(
+        *keys,
+        seconds_between(F.col(ts), end).alias("_x"),
+        F.col(value).cast("double").alias("_y"),
     )
     fitted = recent.groupBy(*keys).agg(
         F.regr_slope("_y", "_x").alias("slope"), F.regr_intercept("_y", "_x").alias("intercept")

@@ -184,8 +184,11 @@ def with_line_amount(items: DataFrame) -> DataFrame:
 
 
 def accepted_order_totals(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """The same totals straight from the cleaned items: summed per order before orders are joined."""
-    return order_totals(with_line_amount(items)).join(orders.select("order_id"), "order_id", "left_semi")
+    """The same totals straight from the cleaned items: summed per order before orders are joined.
+
+    An inner join on the unique order key: a semi join would be moved below the sum again.
+    """
+    return order_totals(with_line_amount(items)).join(orders.select("order_id"), "order_id")
 
 
 def status_rollup(orders: DataFrame) -> DataFrame:

@@ -11,11 +11,14 @@ from brookmark.operators.clean import SILVER_MODELS
 from brookmark.operators.merge import prepare_batch
 from brookmark.sources.bronze import read_bronze_day
 from brookmark.sources.tables import SlotTable
-from brookmark.specs import CATALOG, SILVER_UPDATE_COLUMNS, TableSpec
+from brookmark.specs import CATALOG, CLUSTER_COLUMNS, SILVER_UPDATE_COLUMNS, TableSpec
 
 
-def silver_table(spark: SparkSession, root: str, spec: TableSpec, width: int = 1_000_000) -> SlotTable:
-    return SlotTable(spark, f"{root.rstrip('/')}/silver/{spec.name}", spec.primary_key, width)
+def silver_table(spark: SparkSession, root: str, spec: TableSpec, width: int | None = 1_000_000) -> SlotTable:
+    return SlotTable(
+        spark, f"{root.rstrip('/')}/silver/{spec.name}", spec.primary_key, width,
+        order_by=CLUSTER_COLUMNS.get(spec.name),
+    )
 
 
 def silver_batch(landed: DataFrame, spec: TableSpec) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from brookmark.plans.lakehouse import silver_table
+from brookmark.plans.warehouse import raw_table
 from brookmark.sources.tables import ensure_namespace
 from brookmark.specs import CATALOG, TableSpec
 from brookmark.streaming.cdc import tie_order
@@ -45,8 +47,10 @@ def publish_mirror(spark: SparkSession, mirror: Mirror) -> None:
 
 
 def publish(spark: SparkSession, root: str) -> None:
-    """Raw and lake views of every operational table under a warehouse root."""
+    """Raw and lake views of the operational tables stored under a root; absent ones are left out."""
     root = root.rstrip("/")
     for spec in CATALOG.values():
-        publish_raw(spark, root, spec)
-        publish_lake(spark, root, spec)
+        if raw_table(spark, root, spec).read_or_none() is not None:
+            publish_raw(spark, root, spec)
+        if silver_table(spark, root, spec).read_or_none() is not None:
+            publish_lake(spark, root, spec)

@@ -42,7 +42,7 @@ def with_raw(raw: dict[str, DataFrame], as_of: Column | None = None) -> dict[str
     return {**{f"raw.{n}": df for n, df in raw.items()}, **build_models(raw, as_of)}
 
 
-def raw_table(spark: SparkSession, root: str, spec: TableSpec, width: int = 1_000_000) -> SlotTable:
+def raw_table(spark: SparkSession, root: str, spec: TableSpec, width: int | None = 1_000_000) -> SlotTable:
     return SlotTable(spark, f"{root.rstrip('/')}/raw/{spec.name}_source", spec.primary_key, width)
 
 

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brookmark.operators.merge import merge_upsert
 
@@ -80,20 +81,20 @@ def merge_into_catalog(
 class SlotTable:
     """Parquet table cut into key slots, so that a merge rewrites only the slots it touches.
 
-    The slot is a function of the immutable key: ``floor(key / width)`` for integer keys (new and
-    recently changed keys are neighbours, and a slot can never hold more than ``width`` rows), a
-    hash for other types. Rewrites use dynamic partition overwrite; a rerun after a lost job gives
+    The slot is a function of the immutable key: ``floor(key / width)`` for dense integer keys (new
+    and recently changed keys are neighbours, and a slot can never hold more than ``width`` rows),
+    one of ``slots`` hashes for text keys or with ``width=None``. Rewrites use dynamic partition overwrite; a rerun after a lost job gives
     the same rows, because the merge itself is idempotent.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, width: int = 1_000_000,
-                 slots: int = 4096):
+    def __init__(self, spark: SparkSession, path: str, key: str, width: int | None = 1_000_000,
+                 slots: int = 4096, order_by: str | None = None):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
-        self.width, self.slots = width, slots
+        self.width, self.slots, self.order_by = width, slots, order_by or key
 
     def _slot(self, df: DataFrame):
         key = F.col(self.key)
-        if df.schema[self.key].dataType.typeName() in ("long", "integer", "short"):
+        if self.width and isinstance(df.schema[self.key].dataType, T.IntegralType):
             return F.floor(key / F.lit(self.width)).cast("long")
         return F.pmod(F.xxhash64(key), F.lit(self.slots))
 
@@ -114,11 +115,14 @@ class SlotTable:
         return self.spark.read.parquet(self.path).drop("slot")
 
     def write(self, df: DataFrame) -> None:
-        """Write whole slots: the ones present in ``df`` are replaced, all others stay."""
+        """Write whole slots: the ones present in ``df`` are replaced, all others stay.
+
+        Rows of a file are ordered by ``order_by``, so its statistics let readers skip.
+        """
         (
             df.withColumn("slot", self._slot(df))
             .hint("rebalance", "slot")
-            .sortWithinPartitions("slot", self.key)
+            .sortWithinPartitions("slot", self.order_by)
             .write.partitionBy("slot")
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -187,7 +191,7 @@ class SnapshotTable:
         last = self.current()
         version = 0 if last is None else last + 1
         df.write.mode("overwrite").parquet(self.folder(version))
-        stamp = at or datetime.now(timezone.utc).replace(tzinfo=None)
+        stamp = at or datetime.now(timezone.utc)
         (
             self.spark.createDataFrame(
                 [(version, stamp, self.folder(version))],

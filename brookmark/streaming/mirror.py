@@ -22,7 +22,7 @@ class Mirror:
     already reached the base, nor where a compaction was interrupted.
     """
 
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, width: int = 1_000_000):
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, width: int | None = 1_000_000):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
         self.base = SlotTable(spark, f"{self.path}/base", spec.primary_key, width)
 
