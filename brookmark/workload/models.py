@@ -11,9 +11,6 @@ from brookmark.plans.warehouse import build_models
 from brookmark.sources import fixture
 from brookmark.workload.shapes import AS_OF, with_stages
 
-LOADED = F.lit(AS_OF).cast("timestamp")
-
-
 def _model(name):
     return lambda spark, d: build_models(fixture.operational(spark, d), F.lit(AS_OF).cast("timestamp"))[name]
 

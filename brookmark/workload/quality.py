@@ -19,11 +19,12 @@ from brookmark.workload.keyed import work_folder
 from brookmark.workload.shapes import AS_OF, with_stages
 
 
-_AS_OF = F.lit(AS_OF).cast("timestamp")
+def _models(raw):
+    return with_raw(raw, F.lit(AS_OF).cast("timestamp"))
 
 
 def _frames(spark, d):
-    return with_raw(fixture.operational(spark, d), _AS_OF)
+    return _models(fixture.operational(spark, d))
 
 
 def _stored_frames(spark, d):
@@ -31,7 +32,7 @@ def _stored_frames(spark, d):
     folder = work_folder(spark)
     raw = fixture.operational(spark, d)
     raw["order_items"] = stored(raw["order_items"], f"{folder}/raw_order_items")
-    frames = with_raw(raw, _AS_OF)
+    frames = _models(raw)
     frames["gold.fact_order_items"] = stored(frames["gold.fact_order_items"], f"{folder}/fact")
     return frames
 

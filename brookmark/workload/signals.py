@@ -210,7 +210,7 @@ ORACLE = {
               where epoch(hour) - epoch(newest) >= -21600)
         select event_type, round(regr_slope(y, x), 4) as slope,
                round(regr_intercept(y, x) + regr_slope(y, x) * 86400, 4) as predicted
-        from x group by 1 having regr_slope(y, x) is not null""",
+        from x group by 1 having count(distinct x) > 1""",
     "metric_names": """
         select case event_type when 'signup' then 'airflow_dagrun_duration_success'
                     when 'error' then 'airflow_dagrun_duration_failed' when 'click' then 'airflow_task_duration'

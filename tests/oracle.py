@@ -35,7 +35,7 @@ def _rows(table: pa.Table) -> list[tuple]:
 def difference(df, con, sql: str) -> str | None:
     """What differs between the two results, or None."""
     ours = df.toArrow()
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"
     for name in ours.column_names:
