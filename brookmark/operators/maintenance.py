@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brookmark.functions.scalars import day_from_parts
+from brookmark.operators.unions import union_all
 from brookmark.sources.files import list_files
 
 TARGET_BYTES = 128 * 1024 * 1024
@@ -103,10 +104,7 @@ def storage_report(df: DataFrame, table: str, day: Column, top: int = 20) -> Dat
 
 
 def largest_tables(reports: list[DataFrame], top: int = 20) -> DataFrame:
-    out = reports[0]
-    for report in reports[1:]:
-        out = out.unionByName(report)
-    return out.orderBy(F.col("total_bytes").desc(), F.col("table_name")).limit(top)
+    return union_all(reports).orderBy(F.col("total_bytes").desc(), F.col("table_name")).limit(top)
 
 
 def folder_sizes(spark: SparkSession, path: str) -> DataFrame:

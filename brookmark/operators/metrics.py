@@ -9,27 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookmark.functions.scalars import days_between, seconds_between
+from brookmark.operators.unions import union_all
 from brookmark.specs import TableSpec
 
 # Alert thresholds.
 STALE_SECONDS = 172_800
 ANOMALY_LIMIT = 3.0
-CONSUMER_LAG_LIMIT = 10_000
-CONSUMER_LAG_HOLD_SECONDS = 600
-FAILED_RUN_WINDOW_SECONDS = 1_800
-DISK_LOW_RATIO = 0.25
-DISK_LOW_HOLD_SECONDS = 900
-DISK_CRITICAL_RATIO = 0.18
-DISK_CRITICAL_HOLD_SECONDS = 300
-DISK_LOOKBACK_SECONDS = 21_600
-DISK_AHEAD_SECONDS = 86_400
-DISK_FORECAST_HOLD_SECONDS = 1_800
 HISTORY_DAYS = 30
 MINIMUM_DAYS = 8
 
@@ -63,7 +53,7 @@ def freshness(frames: dict[str, DataFrame], specs: dict[str, TableSpec],
                     seconds_between(at, F.col("newest")).alias("lag_seconds"),
                 )
             )
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def stale_sources(lags: DataFrame, limit: float = STALE_SECONDS) -> DataFrame:
@@ -187,11 +177,7 @@ def increase(df: DataFrame, ts: str, series: str | Sequence[str], value: str, wi
     width = window * slices_per_window
     deltas = counter_deltas(df, ts, keys, value, width)
     micros, span = F.unix_micros(F.col(ts)), F.lit(window * 1_000_000)
-    next_start = (F.col("_slice") + 1) * F.lit(width * 1_000_000)
-    homes = F.when(
-        micros + span >= next_start, F.array(F.col("_slice"), F.col("_slice") + 1)
-    ).otherwise(F.array(F.col("_slice")))
-    placed = deltas.withColumn("_home", F.explode(homes)).withColumn("_own", F.col("_home") == F.col("_slice"))
+    placed = _with_context(deltas, ts, window, width)
     steps = F.array(
         F.struct(micros.alias("at"), F.lit(0).alias("leaves"), F.col("delta").alias("change")),
         F.struct((micros + span).alias("at"), F.lit(1).alias("leaves"), (-F.col("delta")).alias("change")),
@@ -276,6 +262,52 @@ def predict_linear(df: DataFrame, ts: str, series: str | Sequence[str], value: s
     )
 
 
+def _with_context(df: DataFrame, ts: str, window: int, width: int) -> DataFrame:
+    """Rows under every slice that needs them: their own, and the next if its windows reach back."""
+    next_start = (F.col("_slice") + 1) * F.lit(width * 1_000_000)
+    reaches = F.unix_micros(F.col(ts)) + F.lit(window * 1_000_000) >= next_start
+    homes = F.when(reaches, F.array(F.col("_slice"), F.col("_slice") + 1)).otherwise(
+        F.array(F.col("_slice"))
+    )
+    placed = df.withColumn("_home", F.explode(homes))
+    return placed.withColumn("_own", F.col("_home") == F.col("_slice"))
+
+
+def predict_rolling(df: DataFrame, ts: str, series: str | Sequence[str], value: str, lookback: int,
+                    ahead: int, slices_per_window: int = 12) -> DataFrame:
+    """The same prediction at every sample, from the ``lookback`` seconds before it.
+
+    Each sample refits its window, so the cost is the number of samples in a window per sample.
+    Time is measured from the start of the slice.
+    """
+    keys = _names(series)
+    width = lookback * slices_per_window
+    sliced = df.select(*keys, ts, value, _slice(ts, width).alias("_slice"))
+    placed = _with_context(sliced, ts, lookback, width)
+    start = F.col("_home") * F.lit(width * 1_000_000)
+    timed = placed.withColumns(
+        {
+            "_at": F.unix_micros(F.col(ts)),
+            "_x": (F.unix_micros(F.col(ts)) - start) / F.lit(1_000_000),
+            "_y": F.col(value).cast("double"),
+        }
+    )
+    recent = Window.partitionBy(*keys, "_home").orderBy("_at").rangeBetween(-lookback * 1_000_000, 0)
+    return (
+        timed.withColumns(
+            {
+                "slope": F.regr_slope("_y", "_x").over(recent),
+                "_base": F.regr_intercept("_y", "_x").over(recent),
+            }
+        )
+        .where(F.col("_own") & F.col("slope").isNotNull())
+        .select(
+            *keys, ts, value, "slope",
+            (F.col("_base") + F.col("slope") * (F.col("_x") + ahead)).alias("predicted"),
+        )
+    )
+
+
 def ratio_below(df: DataFrame, part: str, whole: str, limit: float) -> DataFrame:
     """Samples whose part-to-whole ratio is under a limit; a zero whole never is."""
     ratio = F.col(part).cast("double") / F.nullif(F.col(whole).cast("double"), F.lit(0.0))

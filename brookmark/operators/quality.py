@@ -7,12 +7,12 @@ look for the absence of bad rows hold trivially on an empty table.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmark.operators.reconcile import select_keys
+from brookmark.operators.unions import union_all
 
 REPORT_SCHEMA = "table_name string, column_name string, check_name string, failures long, status string"
 
@@ -132,7 +132,7 @@ def run_checks(spark: SparkSession, frames: dict[str, DataFrame], checks: list[C
                     _absent(spark, check) if parent is None else _relationships(df, parent, check)
                 )
     status = F.when(F.col("seen") == 0, "SKIP").when(F.col("failures") == 0, "PASS").otherwise("FAIL")
-    return reduce(DataFrame.unionByName, parts).withColumn("status", status).drop("seen")
+    return union_all(parts).withColumn("status", status).drop("seen")
 
 
 def failing_rows(frames: dict[str, DataFrame], check: Check) -> DataFrame:
@@ -185,12 +185,11 @@ def replica_checks(source: DataFrame, replica: DataFrame, key: str, deleted: Dat
     def tagged(df: DataFrame, name: str) -> DataFrame:
         return df.select(F.lit(name).alias("what"), "n")
 
-    facts = reduce(
-        DataFrame.unionByName,
+    facts = union_all(
         [
             tagged(rows, "replica"), tagged(counted, "source"), tagged(still_there, "left"),
             tagged(applied, "applied"), tagged(expected, "expected"),
-        ],
+        ]
     ).groupBy().pivot("what", ["replica", "source", "left", "applied", "expected"]).sum("n")
     empty = F.col("replica") == 0
     lines = F.array(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brookmark.operators.unions import union_all
+
 
 def compare_rows(src: DataFrame, dst: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Every key of either side with ``verdict``: matching, differing, missing or extra.
@@ -43,7 +45,7 @@ def reconcile(src: DataFrame, dst: DataFrame, key: str, cols: Sequence[str]) ->
 
 def replica_lag(sources: dict[str, DataFrame], replicas: dict[str, DataFrame]) -> DataFrame:
     """Rows each replica is behind its source."""
-    out = None
+    parts = []
     for name, src in sources.items():
         counted = src.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(1).alias("side"), "rows")
         mirrored = replicas[name].agg(F.count(F.lit(1)).alias("rows")).select(
@@ -54,9 +56,8 @@ def replica_lag(sources: dict[str, DataFrame], replicas: dict[str, DataFrame]) -
             F.sum(F.when(F.col("side") == 1, F.col("rows"))).alias("source_rows"),
             F.sum(F.when(F.col("side") == 0, F.col("rows"))).alias("replica_rows"),
         )
-        part = part.withColumn("lag_rows", F.col("source_rows") - F.col("replica_rows"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        parts.append(part.withColumn("lag_rows", F.col("source_rows") - F.col("replica_rows")))
+    return union_all(parts)
 
 
 def select_keys(df: DataFrame, key: str, wanted: DataFrame | Sequence) -> DataFrame:

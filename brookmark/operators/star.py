@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +12,7 @@ from brookmark.functions.scalars import (
     month_name,
     month_start,
 )
+from brookmark.operators.unions import union_all
 from brookmark.specs import CATALOG
 
 # Fixed value: name of the load-time column on gold tables and presentation views.
@@ -259,4 +258,4 @@ def table_counts(frames: dict[str, DataFrame], amount_table: str = "orders",
                 total.cast("decimal(28,2)").alias("total_amount"),
             )
         )
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)

@@ -9,6 +9,7 @@ from brookmark.operators.reconcile import reconcile, replica_lag
 from brookmark.operators.quality import replica_checks
 from brookmark.sources import fixture
 from brookmark.sources.changelog import read_cdc_files
+from brookmark.sources.files import list_files
 from brookmark.specs import CATALOG
 from brookmark.streaming.cdc import current, merge_latest, parse_cdc, tombstones
 from brookmark.streaming.mirror import Mirror, run_mirror
@@ -30,10 +31,10 @@ def _orders_current(spark, d):
 def stream_current(spark, d):
     """The whole log as message files, worked off by the stream, then the current view."""
     root = work_folder(spark)
-    # one file per day, in the order the messages were written
-    log = fixture.activity_log(spark, d)
-    log.select("value").write.text(f"{root}/messages")
-    stream = read_cdc_files(spark, f"{root}/messages", files_per_trigger=4)
+    fixture.activity_log(spark, d).select("value").write.text(f"{root}/messages")
+    # a handful of micro-batches, however many files the log has
+    files = list_files(spark, f"{root}/messages", "*.txt").count()
+    stream = read_cdc_files(spark, f"{root}/messages", files_per_trigger=-(-files // 4))
     query = run_mirror(stream, ACTIVITY, f"{root}/mirror", f"{root}/checkpoint", once=True)
     query.awaitTermination()
     return Mirror(spark, f"{root}/mirror", ACTIVITY).current()

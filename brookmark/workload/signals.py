@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from brookmark.operators import alerts as A
 from brookmark.operators import metrics as M
 from brookmark.operators.star import daily_net_revenue
 from brookmark.sources import fixture
@@ -52,9 +53,13 @@ def ratio_alert(spark, d):
     hourly = _events(spark, d).groupBy(hour).agg(
         F.count_if(F.col("event_type") == "click").alias("clicks"), F.count(F.lit(1)).alias("n")
     )
-    low = M.ratio_below(hourly, "clicks", "n", M.DISK_LOW_RATIO).select("hour", F.lit(True).alias("low"))
-    marked = hourly.join(low, "hour", "left").withColumn("series", F.lit("events"))
-    return M.hold(marked, "hour", "series", F.col("low"), 3600)
+    whole = hourly.withColumn("series", F.lit("events"))
+    return A.low_share(whole, "hour", "series", "clicks", "n", A.DISK_LOW_RATIO, 3600)
+
+
+def low_ratio_hours(spark, d):
+    """Hours of a type in which its value per event is under five."""
+    return _rounded(M.ratio_below(hourly_gauge(spark, d), "value", "n", 5.0), "ratio")
 
 
 def metric_names(spark, d):
@@ -80,16 +85,22 @@ def lag_alert(spark, d):
     """Types whose hourly event count summed over users exceeds a limit for a stretch of time."""
     hour = F.date_trunc("hour", "ts").alias("hour")
     per_user = _events(spark, d).groupBy("event_type", "user_id", hour).agg(F.count(F.lit(1)).alias("lag"))
-    summed = M.metric_total(per_user, ["event_type", "hour"], "lag")
-    return M.hold(summed, "hour", "event_type", F.col("lag") > 2, 600)
+    return A.lagging_consumers(per_user, "hour", "event_type", "lag", limit=2)
 
 
 def predicted(spark, d):
     out = M.predict_linear(
         hourly_gauge(spark, d), "hour", "event_type", "value",
-        M.DISK_LOOKBACK_SECONDS, M.DISK_AHEAD_SECONDS,
+        A.DISK_LOOKBACK, A.DISK_AHEAD,
+    )
+    return _rounded(_rounded(out, "slope", digits=10), "predicted")
+
+
+def predicted_hourly(spark, d):
+    out = M.predict_rolling(
+        hourly_gauge(spark, d), "hour", "event_type", "value", A.DISK_LOOKBACK, A.DISK_AHEAD
     )
-    return _rounded(out, "slope", "predicted", digits=4)
+    return _rounded(_rounded(out, "slope", digits=10), "predicted")
 
 
 def _freshness(spark, d):
@@ -108,8 +119,16 @@ QUERIES = {
         M.revenue_anomalies(M.rolling_z(_daily(spark, d)), 2.0), "mean", "z"
     ),
     "event_increase": lambda spark, d: M.increase(
-        event_counter(spark, d), "minute", "event_type", "value", M.FAILED_RUN_WINDOW_SECONDS
+        event_counter(spark, d), "minute", "event_type", "value", A.FAILED_RUN_WINDOW
+    ),
+    "failed_runs": lambda spark, d: A.failed_runs(
+        event_counter(spark, d).where(F.col("event_type") == "error"), "minute", "event_type", "value"
     ),
+    "run_out_alert": lambda spark, d: A.will_run_out(
+        hourly_gauge(spark, d), "hour", "event_type", "value"
+    ),
+    "predict_hourly": predicted_hourly,
+    "low_ratio_hours": low_ratio_hours,
     "event_rate": lambda spark, d: _rounded(
         M.rate(event_counter(spark, d), "minute", "event_type", "value", 300), "rate", digits=9
     ),
@@ -169,6 +188,15 @@ def _held(source: str, key: str, condition: str, seconds: int) -> str:
 
 _HOURLY = """select event_type, date_trunc('hour', ts) as hour, count(*) as n,
              cast(sum(cast(value as decimal(18,2))) as double) as value from events group by 1, 2"""
+_TREND = f"""
+    select event_type, hour, value, case when points > 1 then s end as slope,
+           case when points > 1 then b + s * (epoch(hour) - epoch(date '2024-01-01') + 86400) end as predicted
+    from (select event_type, hour, value, count(*) over w as points,
+                 regr_slope(value, epoch(hour) - epoch(date '2024-01-01')) over w as s,
+                 regr_intercept(value, epoch(hour) - epoch(date '2024-01-01')) over w as b
+          from ({_HOURLY}) h
+          window w as (partition by event_type order by hour
+                       range between interval '6' hour preceding and current row)) r"""
 _LAGS = """
     select * from (
         select 'customers' as table_name, max(updated_at) as newest from raw_customers
@@ -195,6 +223,17 @@ ORACLE = {
         from ({_ROLLING}) r where history_days >= 7 and deviation > 0
         and abs((value - mean) / deviation) > 2"""),
     "event_increase": f"with {_COUNTER} select event_type, minute, value, {_grown(30)} as increase from deltas",
+    "failed_runs": f"""with {_COUNTER} select * from (
+        select event_type, minute, value, {_grown(30)} as increase from deltas) g
+        where event_type = 'error' and increase > 0""",
+    "run_out_alert": _held(
+        f"select *, coalesce(predicted < 0, false) as low from ({_TREND}) t where slope is not null",
+        "event_type", "low", 1800,
+    ),
+    "predict_hourly": f"""select event_type, hour, value, round(slope, 10) as slope,
+        round(predicted, 6) as predicted from ({_TREND}) t where slope is not null""",
+    "low_ratio_hours": f"""select event_type, hour, n, value, round(value / n, 6) as ratio
+        from ({_HOURLY}) h where value / n < 5""",
     "event_rate": f"""with {_COUNTER} select event_type, minute, value,
         round(cast({_grown(5)} as double) / 300.0, 9) as rate from deltas""",
     "alert_hold": _held(_HOURLY, "event_type", "n >= 3", 7200),
@@ -208,8 +247,8 @@ ORACLE = {
         with h as ({_HOURLY}), m as (select max(hour) as newest from h),
         x as (select event_type, value as y, epoch(hour) - epoch(newest) as x from h cross join m
               where epoch(hour) - epoch(newest) >= -21600)
-        select event_type, round(regr_slope(y, x), 4) as slope,
-               round(regr_intercept(y, x) + regr_slope(y, x) * 86400, 4) as predicted
+        select event_type, round(regr_slope(y, x), 10) as slope,
+               round(regr_intercept(y, x) + regr_slope(y, x) * 86400, 6) as predicted
         from x group by 1 having count(distinct x) > 1""",
     "metric_names": """
         select case event_type when 'signup' then 'airflow_dagrun_duration_success'

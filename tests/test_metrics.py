@@ -5,6 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from brookmark.operators import alerts as A
 from brookmark.operators import metrics as M
 from brookmark.specs import CATALOG
 
@@ -122,9 +123,9 @@ def test_linear_prediction(spark):
 
 def test_ratio_and_totals(spark):
     df = spark.createDataFrame([("a", 1, 10), ("b", 5, 10), ("c", 1, 0)], "m string, avail int, size int")
-    assert [r.m for r in M.ratio_below(df, "avail", "size", M.DISK_LOW_RATIO).collect()] == ["a"]
+    assert [r.m for r in M.ratio_below(df, "avail", "size", A.DISK_LOW_RATIO).collect()] == ["a"]
     lag = spark.createDataFrame([("g", 6000), ("g", 5000), ("h", 1)], "grp string, lag long")
-    over = M.metric_total(lag, "grp", "lag").where(F.col("lag") > M.CONSUMER_LAG_LIMIT)
+    over = M.metric_total(lag, "grp", "lag").where(F.col("lag") > A.CONSUMER_LAG_LIMIT)
     assert [r.grp for r in over.collect()] == ["g"]
     assert M.metric_total(lag, "grp", "lag", "max").where("grp = 'g'").first().lag == 6000
 
@@ -148,3 +149,38 @@ def test_freshness(spark):
     lags = M.freshness(frames, CATALOG, F.lit("2024-01-03 00:00:01").cast("timestamp"))
     assert [tuple(r) for r in lags.collect()] == [("orders", 172_800.5)]
     assert M.stale_sources(lags).count() == 1
+
+
+def test_rolling_prediction_matches_the_single_one(spark):
+    rng = random.Random(2)
+    points = {"a": [(i * 600, 1000 - i * 7 + rng.randrange(9)) for i in range(200)], "b": [(0, 1)]}
+    df = samples(spark, points)
+    rolling = {
+        r.ts: r.predicted
+        for r in M.predict_rolling(df, "ts", "series", "value", 3600, 7200, slices_per_window=2).collect()
+    }
+    assert len(rolling) == 199  # the first sample has no trend, nor has the single one
+    for i in (1, 5, 12, 13, 50, 199):
+        at = T0 + timedelta(seconds=i * 600)
+        single = M.predict_linear(df, "ts", "series", "value", 3600, 7200, at=at).where("series = 'a'").first()
+        assert rolling[at] == pytest.approx(single.predicted)
+
+
+def test_alert_rules(spark):
+    falling = {"disk": [(i * 600, 30_000 - i * 1000) for i in range(40)], "flat": [(i * 600, 5) for i in range(40)]}
+    out = A.will_run_out(samples(spark, falling), "ts", "series", "value").collect()
+    assert [(r.series, r.since, r.samples) for r in out] == [("disk", T0 + timedelta(seconds=600), 39)]
+    errors = samples(spark, {"dag": [(0, 0), (60, 1), (120, 1), (4000, 1)]})
+    assert A.failed_runs(errors, "ts", "series", "value").count() == 2
+    assert A.import_errors(errors, "ts", "series", "value").count() == 1
+    disk = spark.createDataFrame(
+        [("n", T0 + timedelta(seconds=s), free, 100) for s, free in ((0, 20), (300, 15), (600, 10), (900, 20), (1200, 90))],
+        "series string, ts timestamp, free int, size int",
+    )
+    assert A.low_share(disk, "ts", "series", "free", "size").first().held_seconds == 900
+    assert A.critical_share(disk, "ts", "series", "free", "size").first().held_seconds == 300
+    lag = spark.createDataFrame(
+        [("g", T0 + timedelta(seconds=s), p, 6000) for s in (0, 300, 600) for p in (0, 1)],
+        "grp string, ts timestamp, part int, lag long",
+    )
+    assert A.lagging_consumers(lag, "ts", "grp", "lag").first().held_seconds == 600
