@@ -83,8 +83,11 @@ class SlotTable:
 
     The slot is a function of the immutable key: ``floor(key / width)`` for dense integer keys (new
     and recently changed keys are neighbours, and a slot can never hold more than ``width`` rows),
-    one of ``slots`` hashes for text keys or with ``width=None``. Rewrites use dynamic partition overwrite; a rerun after a lost job gives
-    the same rows, because the merge itself is idempotent.
+    one of ``slots`` hashes for text keys or with ``width=None``. Rewrites use dynamic partition
+    overwrite: tasks write aside and the driver swaps folders when all are done, so lost executors
+    and failed jobs leave the table as it was, and a repeated merge gives the same rows. Only a
+    driver that dies in the middle of the swap can leave a folder behind in the staging area; use
+    SnapshotTable where even that must not happen.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, width: int | None = 1_000_000,
@@ -202,3 +205,12 @@ class SnapshotTable:
             .parquet(f"{self.path}/commits")
         )
         return version
+
+    def merge(self, updates: DataFrame, key: str, update_columns: tuple[str, ...],
+              version: str | None = "updated_at") -> int:
+        """Keyed upsert as a new version of the whole table: all or nothing, at the cost of a full
+        rewrite."""
+        stored = self.read()
+        if stored is None:
+            return self.commit(updates)
+        return self.commit(merge_upsert(stored, updates, key, update_columns, version=version))

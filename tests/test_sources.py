@@ -171,6 +171,28 @@ def test_snapshot_table_versions(spark, tmp_path):
     assert table.commit(spark.range(5)) == 2 and table.read().count() == 5
 
 
+def test_snapshot_merge_is_all_or_nothing(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    later = T0 + timedelta(days=1)
+    assert table.merge(orders(spark, order(1), order(2)), "order_id", ORDERS.update_columns) == 0
+    assert table.merge(orders(spark, order(2, "shipped", later), order(3)), "order_id", ORDERS.update_columns) == 1
+    poisoned = orders(spark, order(4)).withColumn("status", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(PySparkException, match="lost"):
+        table.merge(poisoned, "order_id", ORDERS.update_columns)
+    assert {r.order_id: r.status for r in table.read().collect()} == {1: "pending", 2: "shipped", 3: "pending"}
+
+
+def test_failed_slot_merge_leaves_the_table_as_it_was(spark, tmp_path):
+    table = SlotTable(spark, str(tmp_path / "t"), "order_id", width=10)
+    table.merge(orders(spark, *[order(k) for k in range(30)]), ORDERS.update_columns)
+    before = sorted(map(tuple, table.read().collect()))
+    status = F.when(F.col("order_id") == 25, F.raise_error(F.lit("lost")).cast("string")).otherwise("shipped")
+    poisoned = orders(spark, *[order(k, at=T0 + timedelta(days=1)) for k in range(30)]).withColumn("status", status)
+    with pytest.raises(PySparkException, match="lost"):
+        table.merge(poisoned, ORDERS.update_columns)
+    assert sorted(map(tuple, table.read().collect())) == before
+
+
 def test_silver_upsert_creates_then_needs_row_level_operations(spark):
     rows = orders(spark, order(1), order(2, "shipped"))
     assert not silver_upsert(rows.limit(0), "silver.orders", "order_id", ("status",), "status")
