@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ def column_catalog(spark: SparkSession, layers: Iterable[str] = LAYERS) -> DataF
     return spark.createDataFrame(rows, _CATALOG_SCHEMA)
 
 
-def frame_catalog(spark: SparkSession, layer: str, frames: dict[str, DataFrame]) -> DataFrame:
+def frame_catalog(spark: SparkSession, layer: str, frames: Mapping[str, DataFrame]) -> DataFrame:
     """The same listing for frames that are not stored."""
     rows = [
         (layer, name, field.name, field.dataType.simpleString(), place)

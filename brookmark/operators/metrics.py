@@ -7,7 +7,7 @@ series that holds a large share of all samples is worked on by many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,7 +38,7 @@ METRIC_NAMES: list[tuple[str, str, tuple[str, ...]]] = [
 ]
 
 
-def freshness(frames: dict[str, DataFrame], specs: dict[str, TableSpec],
+def freshness(frames: Mapping[str, DataFrame], specs: dict[str, TableSpec],
               now: Column | None = None) -> DataFrame:
     """Seconds since the newest cursor value of every table that has a cursor and a row."""
     at = F.current_timestamp() if now is None else now

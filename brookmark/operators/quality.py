@@ -6,6 +6,7 @@ look for the absence of bad rows hold trivially on an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,7 +110,7 @@ def _absent(spark: SparkSession, check: Check) -> DataFrame:
     return _labelled(missing, check)
 
 
-def run_checks(spark: SparkSession, frames: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+def run_checks(spark: SparkSession, frames: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One row per check: ``(table_name, column_name, check_name, failures, status)``."""
     parts: list[DataFrame] = []
     for table in dict.fromkeys(c.table for c in checks):
@@ -135,7 +136,7 @@ def run_checks(spark: SparkSession, frames: dict[str, DataFrame], checks: list[C
     return union_all(parts).withColumn("status", status).drop("seen")
 
 
-def failing_rows(frames: dict[str, DataFrame], check: Check) -> DataFrame:
+def failing_rows(frames: Mapping[str, DataFrame], check: Check) -> DataFrame:
     """The rows (or repeated values) behind a failed check."""
     df = frames[check.table]
     if check.kind == "unique":

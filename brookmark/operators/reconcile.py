@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +43,7 @@ def reconcile(src: DataFrame, dst: DataFrame, key: str, cols: Sequence[str]) ->
     )
 
 
-def replica_lag(sources: dict[str, DataFrame], replicas: dict[str, DataFrame]) -> DataFrame:
+def replica_lag(sources: Mapping[str, DataFrame], replicas: Mapping[str, DataFrame]) -> DataFrame:
     """Rows each replica is behind its source."""
     parts = []
     for name, src in sources.items():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -242,7 +244,7 @@ def random_row(df: DataFrame, condition: Column, key: str, seed: int) -> DataFra
     return sample_rows(df.where(condition), key, 1, seed)
 
 
-def table_counts(frames: dict[str, DataFrame], amount_table: str = "orders",
+def table_counts(frames: Mapping[str, DataFrame], amount_table: str = "orders",
                  amount: str = "total_amount") -> DataFrame:
     """Rows of every table and the revenue total of one of them (zero when empty)."""
     parts = []

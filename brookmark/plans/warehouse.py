@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from brookmark.frames import LazyFrames
 from brookmark.operators import clean, star
 from brookmark.operators.merge import assert_no_conflicts, prepare_batch
 from brookmark.sources.bronze import write_bronze
@@ -15,31 +17,46 @@ from brookmark.sources.tables import SlotTable, materialize
 from brookmark.specs import CATALOG, TableSpec
 
 
-def build_models(raw: dict[str, DataFrame], as_of: Column | None = None) -> dict[str, DataFrame]:
-    """All warehouse models, lazily, keyed ``layer.name``."""
-    orders = clean.orders_clean(raw["orders"])
-    items = clean.order_items_clean(raw["order_items"])
-    customers = clean.customers_clean(raw["customers"])
-    products = clean.products_clean(raw["products"])
-    return {
-        "int.customers_clean": customers,
-        "int.products_clean": products,
-        "int.orders_clean": orders,
-        "int.order_items_clean": items,
-        "gold.dim_customer": star.dim_customer(customers, as_of),
-        "gold.dim_product": star.dim_product(products, as_of),
-        "gold.dim_date": star.dim_date(orders, as_of),
-        "gold.fact_order_items": star.fact_order_items(items, orders, as_of),
-        "prs.v_customers": star.v_customers(customers, as_of),
-        "prs.v_products": star.v_products(products, as_of),
-        "prs.v_orders": star.v_orders(items, orders, as_of),
-        "prs.v_daily_revenue": star.v_daily_revenue(orders, as_of),
-    }
+def build_models(raw: Mapping[str, DataFrame], as_of: Column | None = None) -> LazyFrames:
+    """All warehouse models, keyed ``layer.name``; each is composed when it is first asked for."""
+    models: LazyFrames
+
+    def orders() -> DataFrame:
+        return models["int.orders_clean"]
+
+    def items() -> DataFrame:
+        return models["int.order_items_clean"]
+
+    def customers() -> DataFrame:
+        return models["int.customers_clean"]
+
+    def products() -> DataFrame:
+        return models["int.products_clean"]
+
+    models = LazyFrames(
+        {
+            "int.customers_clean": lambda: clean.customers_clean(raw["customers"]),
+            "int.products_clean": lambda: clean.products_clean(raw["products"]),
+            "int.orders_clean": lambda: clean.orders_clean(raw["orders"]),
+            "int.order_items_clean": lambda: clean.order_items_clean(raw["order_items"]),
+            "gold.dim_customer": lambda: star.dim_customer(customers(), as_of),
+            "gold.dim_product": lambda: star.dim_product(products(), as_of),
+            "gold.dim_date": lambda: star.dim_date(orders(), as_of),
+            "gold.fact_order_items": lambda: star.fact_order_items(items(), orders(), as_of),
+            "prs.v_customers": lambda: star.v_customers(customers(), as_of),
+            "prs.v_products": lambda: star.v_products(products(), as_of),
+            "prs.v_orders": lambda: star.v_orders(items(), orders(), as_of),
+            "prs.v_daily_revenue": lambda: star.v_daily_revenue(orders(), as_of),
+        }
+    )
+    return models
 
 
-def with_raw(raw: dict[str, DataFrame], as_of: Column | None = None) -> dict[str, DataFrame]:
+def with_raw(raw: Mapping[str, DataFrame], as_of: Column | None = None) -> LazyFrames:
     """Raw tables and models together, as the checks see them."""
-    return {**{f"raw.{n}": df for n, df in raw.items()}, **build_models(raw, as_of)}
+    named = LazyFrames({f"raw.{n}": (lambda n=n: raw[n]) for n in raw})
+    models = build_models(raw, as_of)
+    return named.joined({n: (lambda n=n: models[n]) for n in models})
 
 
 def raw_table(spark: SparkSession, root: str, spec: TableSpec, width: int | None = 1_000_000) -> SlotTable:

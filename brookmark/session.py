@@ -21,6 +21,8 @@ def build_session(app: str = "brookmark", master: str | None = None, **conf: str
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.compression.codec": "snappy",
+        # recording the Python call site of every column expression doubles the time to build a plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brookmark.frames import LazyFrames
 from brookmark.functions.decode import encode_image
 from brookmark.operators.merge import latest_by_key
 from brookmark.specs import CATALOG, TableSpec
@@ -117,8 +118,8 @@ READERS = {
 }
 
 
-def operational(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: READERS[name](spark, sf_dir) for name in CATALOG}
+def operational(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    return LazyFrames({name: (lambda name=name: READERS[name](spark, sf_dir)) for name in CATALOG})
 
 
 # A user's latest activity as a fifth, manifest-only table.

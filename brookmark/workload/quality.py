@@ -31,10 +31,9 @@ def _stored_frames(spark, d):
     """The frames with the raw lines and the fact written once; many checks read each of them."""
     folder = work_folder(spark)
     raw = fixture.operational(spark, d)
-    raw["order_items"] = stored(raw["order_items"], f"{folder}/raw_order_items")
-    frames = _models(raw)
-    frames["gold.fact_order_items"] = stored(frames["gold.fact_order_items"], f"{folder}/fact")
-    return frames
+    frames = _models(raw.replaced(order_items=stored(raw["order_items"], f"{folder}/raw_order_items")))
+    fact = stored(frames["gold.fact_order_items"], f"{folder}/fact")
+    return frames.replaced(**{"gold.fact_order_items": fact})
 
 
 def dq_report(spark, d):
@@ -57,7 +56,7 @@ def _old_customers(spark, d):
 
 def schema_drift(spark, d):
     """Columns missing or unexpected in each source, with the rows they concern."""
-    frames = {**fixture.operational(spark, d), "customers": _old_customers(spark, d)}
+    frames = fixture.operational(spark, d).replaced(customers=_old_customers(spark, d))
     drift = catalog_diff(spec_catalog(spark, "raw", CATALOG), frame_catalog(spark, "raw", frames))
     counts = table_counts(frames).select("table_name", F.col("row_count").alias("rows_affected"))
     return drift.join(counts, "table_name")
@@ -65,7 +64,7 @@ def schema_drift(spark, d):
 
 def unverified_report(spark, d):
     """The report when one layer was never built: its checks are skipped, so nothing is verified."""
-    frames = {n: df for n, df in _stored_frames(spark, d).items() if not n.startswith("prs.")}
+    frames = _stored_frames(spark, d).without("prs.")
     return verdict(run_checks(spark, frames, DECLARED_CHECKS))
 
 
