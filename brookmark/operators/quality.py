@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from brookmark.operators.reconcile import select_keys
 from brookmark.operators.unions import union_all
 
-REPORT_SCHEMA = "table_name string, column_name string, check_name string, failures long, status string"
-
 
 @dataclass(frozen=True)
 class Check:

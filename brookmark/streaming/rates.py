@@ -32,7 +32,7 @@ def consumer_lag(spark: SparkSession, progress: Iterable[str]) -> DataFrame:
     ``progress`` holds the JSON text of ``query.recentProgress`` entries, a bounded history that
     the query object keeps on the driver anyway.
     """
-    source = f"struct<description:string,endOffset:string,latestOffset:string>"
+    source = "struct<description:string,endOffset:string,latestOffset:string>"
     schema = f"struct<timestamp:string,sources:array<{source}>>"
     reports = spark.createDataFrame([(p,) for p in progress], "report string")
     parsed = reports.select(F.from_json("report", schema).alias("p"))

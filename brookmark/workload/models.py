@@ -130,12 +130,16 @@ QUERIES = {
     "scalar_functions": scalar_functions,
 }
 
-_SIZE = """case when b >= 1125899906842624 then format('{:,.2f} PiB', b / 1125899906842624)
-    when b >= 1099511627776 then format('{:,.2f} TiB', b / 1099511627776)
-    when b >= 1073741824 then format('{:,.2f} GiB', b / 1073741824)
-    when b >= 1048576 then format('{:,.2f} MiB', b / 1048576)
-    when b >= 1024 then format('{:,.2f} KiB', b / 1024)
-    else format('{:,.2f} B', b) end"""
+_BYTES = "(cast(coalesce(total_amount, 0) as double) * 1024)"
+_UNITS = [("PiB", 5), ("TiB", 4), ("GiB", 3), ("MiB", 2), ("KiB", 1)]
+_SIZE = (
+    "case "
+    + " ".join(
+        f"when {_BYTES} >= {1024**n} then format('{{:,.2f}} {unit}', {_BYTES} / {1024**n})"
+        for unit, n in _UNITS
+    )
+    + f" else format('{{:,.2f}} B', {_BYTES}) end"
+)
 
 ORACLE = {
     "star_revenue": with_stages("""
@@ -222,6 +226,6 @@ ORACLE = {
                cast(round(total_amount, 0) as decimal(18,0)) as rounded,
                order_date - interval '7' day as week_before, order_date as from_micros,
                cast(order_date as date) as from_days, status as json_text, total_amount as json_money,
-               {_SIZE.replace(" b ", " (coalesce(total_amount, 0)::double * 1024) ").replace(", b)", ", (coalesce(total_amount, 0)::double * 1024))")} as size_text
+               {_SIZE} as size_text
         from raw_orders"""),
 }

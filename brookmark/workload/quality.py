@@ -8,7 +8,7 @@ from brookmark.operators.catalog import catalog_diff, frame_catalog, spec_catalo
 from brookmark.operators.quality import Check, failing_rows, orphans, run_checks, verdict
 from brookmark.operators.reconcile import reconcile_totals
 from brookmark.operators.clean import order_items_clean, orders_clean
-from brookmark.operators.star import fact_order_items, table_counts, with_line_amount
+from brookmark.operators.star import table_counts, with_line_amount
 from brookmark.plans.checks import DECLARED_CHECKS, MART_CHECKS
 from brookmark.plans.warehouse import with_raw
 from brookmark.sources import fixture

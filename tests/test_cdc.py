@@ -4,7 +4,6 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from brookmark.sources.changelog import read_cdc_files
 from brookmark.sources.fixture import ACTIVITY
