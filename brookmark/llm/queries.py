@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from brookmark.llm import bpe, crf, decontaminate, lineindex, linkgraph, rules, toolcalls
+from brookmark.llm import bpe, crf, decontaminate, lineindex, linkgraph, prefixtree, rules, toolcalls
 from brookmark.llm.text import fold_of, read
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -63,6 +63,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtree.classes(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -80,6 +84,7 @@ QUERIES = {
     "op4_tool_calls": op4_tool_calls,
     "op6_line_dedup": op6_line_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -102,6 +107,24 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from judged group by doc_id
 """
 
+_OP9 = rf"""
+with recursive d as (
+  select doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), grams as (
+  select distinct doc_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') as g
+  from d, unnest(range(1, len(w) - least(len(w), 5) + 2)) as t(i) where len(w) > 0
+), sizes as (select doc_id, count(*) as n from grams group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as o from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id group by all
+), links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * o >= 80 * (p.n + q.n - o)
+), reach as (
+  select doc_id as x, doc_id as y from d union select r.x, l.y from reach r join links l on r.y = l.x
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, r.component_id
+from d left join sizes s on d.doc_id = s.doc_id join (select x, min(y) as component_id from reach group by x) r on r.x = d.doc_id
+"""
+
 _OP10 = r"""
 with d as (
   select doc_id, list_filter(regexp_split_to_array(LOW_TEXT, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents
@@ -143,4 +166,4 @@ select d.conv_id, concat(d.conv_id, '-', d.turn) as call_id, d.depth, a.content
 from deep d left join answers a on d.conv_id = a.conv_id and a.turn = d.turn + 1
 """
 
-ORACLE = {"op3_url_filters": linkgraph.oracle_sql(), "op4_tool_calls": _OP4, "op6_line_dedup": _OP6, "op10_decontamination": _OP10}
+ORACLE = {"op3_url_filters": linkgraph.oracle_sql(), "op4_tool_calls": _OP4, "op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9, "op10_decontamination": _OP10}
