@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from brookmark.llm import bpe, crf, decontaminate, lineindex, linkgraph, prefixtree, rules, toolcalls
+from brookmark.llm import automata, bpe, crf, decontaminate, lineindex, linkgraph, prefixtree, rules, toolcalls
 from brookmark.llm.text import fold_of, read
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -44,6 +44,12 @@ def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = automata.remove_repeats(read(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return cut.select("doc_id", "n_words", gone.alias("n_removed"), sha_of(F.col("text")).alias("kept_sha256"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lineindex.dedup_lines(read(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines", "n_dropped", sha_of(F.col("text")).alias("kept_sha256"))
@@ -82,6 +88,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_url_filters": op3_url_filters,
     "op4_tool_calls": op4_tool_calls,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
@@ -90,6 +97,21 @@ QUERIES = {
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_OP5 = r"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), windows as (
+  select doc_id, i, sha256(array_to_string(w[i : i + 34], ' ')) as h from d, unnest(range(1, len(w) - 33)) as t(i) where len(w) >= 35
+), hits as (select doc_id, i from (select *, count(*) over (partition by h) as n from windows) where n > 1),
+gone as (select distinct doc_id, p from hits, unnest(range(i, i + 35)) as t(p)),
+words as (select doc_id, p, w[p] as word from d, unnest(range(1, len(w) + 1)) as t(p))
+select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(x.n, 0) as n_removed, sha256(coalesce(x.kept, '')) as kept_sha256
+from d left join (
+  select words.doc_id, count(gone.p) as n, string_agg(word, ' ' order by words.p) filter (where gone.p is null) as kept
+  from words left join gone on words.doc_id = gone.doc_id and words.p = gone.p group by words.doc_id
+) x on d.doc_id = x.doc_id
+"""
+
 _OP6 = f"""
 with lines as (
   select doc_id, i, list_extract(parts, i) as line, len(parts) as n
@@ -166,4 +188,4 @@ select d.conv_id, concat(d.conv_id, '-', d.turn) as call_id, d.depth, a.content
 from deep d left join answers a on d.conv_id = a.conv_id and a.turn = d.turn + 1
 """
 
-ORACLE = {"op3_url_filters": linkgraph.oracle_sql(), "op4_tool_calls": _OP4, "op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9, "op10_decontamination": _OP10}
+ORACLE = {"op3_url_filters": linkgraph.oracle_sql(), "op4_tool_calls": _OP4, "op5_substring_dedup": _OP5, "op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9, "op10_decontamination": _OP10}
