@@ -236,16 +236,17 @@ class LineIndex:
 def drop_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
     """Texts without the lines that the index takes from their documents.
 
-    Returns ``doc_id``, ``text``, ``n_lines`` (before dropping) and ``n_dropped``, a row for each row.
+    A row for each row, with its other columns; ``text`` is what stays, ``n_lines`` (before dropping)
+    and ``n_dropped`` are added, in place of columns of those names.
     """
-    kind = dict(docs.dtypes)["doc_id"]
     min_chars = index.min_chars
-    lost = index.losses().select(F.col("doc_id").alias("of"), "keys")
-    joined = packed(docs, "doc_id").join(lost, F.col("doc_id") == F.col("of"), "left").select("doc_id", "packed", "keys")
+    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    lost = index.losses().select(F.col("doc_id").alias("__of"), F.col("keys").alias("__keys"))
+    joined = packed(docs, *others, name="__packed").join(lost, F.col("doc_id") == F.col("__of"), "left").drop("__of")
 
     def drop(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, lines, dropped = [], [], []
-        for text, keys in zip(unpack(batch.column("packed")), batch.column("keys").to_pylist()):
+        for text, keys in zip(unpack(batch.column("__packed")), batch.column("__keys").to_pylist()):
             parts = (text or b"").split(b"\n")
             lines.append(len(parts))
             if keys:
@@ -255,12 +256,14 @@ def drop_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
                 kept = parts
             dropped.append(len(parts) - len(kept))
             texts.append(b"\n".join(kept))
-        return batch_of(
-            doc_id=batch.column("doc_id"), text=pa.array(texts, pa.binary()).cast(pa.string()),
-            n_lines=pa.array(lines, pa.int64()), n_dropped=pa.array(dropped, pa.int64()),
+        made = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in others), *made], names=[*others, "text", "n_lines", "n_dropped"]
         )
 
-    return map_batches(joined, drop, f"doc_id {kind}, text string, n_lines long, n_dropped long")
+    kinds = dict(docs.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in others) + ", text string, n_lines long, n_dropped long"
+    return map_batches(joined, drop, schema)
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from brookmark.llm import automata, bpe, crf, decontaminate, lineindex, linkgraph, prefixtree, rules, toolcalls
+from brookmark.llm import automata, bpe, brown, crf, decontaminate, lineindex, linkgraph, prefixtree, rules, toolcalls
 from brookmark.llm.text import fold_of, read
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -69,6 +69,13 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = brown.score(read(spark, sf_dir, "documents"), fold_of(F.col("doc_id")) != 1)
+    return scored.select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtree.classes(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -91,6 +98,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }

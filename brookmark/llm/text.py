@@ -109,17 +109,17 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def packed(docs: DataFrame, *ids: str) -> DataFrame:
-    """Texts compressed for a shuffle: the given columns and ``packed`` (null texts stay null)."""
+def packed(docs: DataFrame, *ids: str, name: str = "packed") -> DataFrame:
+    """Texts compressed for a shuffle: the given columns and ``name`` (null texts stay null)."""
     frame = docs.select(*ids, F.col("text"))
-    kinds = ", ".join(f"`{n}` {t}" for n, t in frame.drop("text").dtypes)
+    kinds = ", ".join(f"`{n}` {t}" for n, t in frame.dtypes[:-1])
 
     def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
         squeeze = zstandard.ZstdCompressor(level=3).compress
-        texts = [None if t is None else squeeze(t) for t in raw(batch.column("text"))]
-        return batch_of(**{n: batch.column(n) for n in ids}, packed=pa.array(texts, pa.binary()))
+        texts = [None if t is None else squeeze(t) for t in raw(batch.column(len(ids)))]
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*ids, name])
 
-    return map_batches(frame, pack, f"{kinds}, packed binary")
+    return map_batches(frame, pack, ", ".join(x for x in (kinds, f"`{name}` binary") if x))
 
 
 def unpack(column: pa.Array) -> list[bytes | None]:
