@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from brookmark.llm.graph import components
 from brookmark.llm.text import batch_of, map_batches, packed, raw, rolling, signed, staged, unpack, word_hashes
 
-SKETCH = 8  # 64-bit words of a set's bitmap
+SKETCH_BITS = 512  # of the smallest bitmap
 
 
 def gram_set(text: bytes | None, n: int = 5) -> np.ndarray:
@@ -52,11 +52,28 @@ def _digest(grams: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(grams.tobytes()) if len(grams) else 0
 
 
-def _sketch(grams: np.ndarray) -> np.ndarray:
-    """Bit j tells whether an odd number of n-grams falls on j: two sketches differ in at most as many
-    bits as their sets differ in n-grams."""
-    odd = np.bincount((grams >> np.uint64(40)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+def sketch_of(grams: np.ndarray) -> bytes:
+    """Bitmap with a bit or more per n-gram: bit j tells whether an odd number of n-grams falls on j.
+
+    Two bitmaps of one length differ in at most as many bits as their sets do in n-grams. The length is a power of two,
+    and halves laid over each other give the bitmap of half the length.
+    """
+    bits = SKETCH_BITS
+    while bits < len(grams):
+        bits *= 2
+    odd = np.bincount((grams >> np.uint64(32)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of n-grams in one of the two sets only."""
+    if len(a) > len(b):
+        a, b = b, a
+    x, size = int.from_bytes(b, "little"), 8 * len(b)
+    while size > 8 * len(a):
+        size //= 2
+        x = (x >> size) ^ (x & ((1 << size) - 1))
+    return (x ^ int.from_bytes(a, "little")).bit_count()
 
 
 def least_overlap(a, b):
@@ -86,7 +103,7 @@ def describe(docs: DataFrame, n: int = 5, chunk: int = 2_000_000, often: int = 3
             blank = np.zeros(len(grams), np.int64)
             return batch_of(
                 doc_id=pa.nulls(len(grams), like), n_shingles=times.astype(np.int64), node=blank,
-                **{f"s{k}": blank for k in range(SKETCH)}, gram=signed(grams),
+                sketch=pa.nulls(len(grams), pa.binary()), gram=signed(grams),
             )
 
         like = pa.int64()
@@ -98,7 +115,7 @@ def describe(docs: DataFrame, n: int = 5, chunk: int = 2_000_000, often: int = 3
                 node = _digest(grams)
                 sizes.append(len(grams))
                 nodes.append(node)
-                sketches.append(_sketch(grams))
+                sketches.append(sketch_of(grams))
                 if node not in seen and len(grams):
                     seen.add(node)
                     held.append(grams)
@@ -106,16 +123,14 @@ def describe(docs: DataFrame, n: int = 5, chunk: int = 2_000_000, often: int = 3
                 if size >= chunk:
                     yield frequent(like)
                     held, size, seen = [], 0, set()
-            bits = np.array(sketches).reshape(-1, SKETCH)
             yield batch_of(
                 doc_id=batch.column("doc_id"), n_shingles=np.array(sizes, np.int64), node=signed(np.array(nodes, np.uint64)),
-                **{f"s{k}": bits[:, k] for k in range(SKETCH)}, gram=pa.nulls(batch.num_rows, pa.int64()),
+                sketch=pa.array(sketches, pa.binary()), gram=pa.nulls(batch.num_rows, pa.int64()),
             )
         if held:
             yield frequent(like)
 
-    bits = ", ".join(f"s{k} long" for k in range(SKETCH))
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, {bits}, gram long")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, sketch binary, gram long")
 
 
 def last_in_order(described: DataFrame, bits: int = 1 << 26, shared_by: int = 24) -> np.ndarray:
@@ -225,12 +240,17 @@ def _with_end(batches):
 
 def candidates(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose bitmaps do not rule a link out; chains stay as they are."""
-    bits = [f"s{k}" for k in range(SKETCH)]
-    side = {x: nodes.select(F.col("node").alias(x), *[F.col(s).alias(f"{x}_{s}") for s in bits]) for x in "ab"}
-    differ = sum((F.bit_count(F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))) for s in bits), F.lit(0))
-    most = F.expr("na + nb - 2 * cast(ceil(4 * (na + nb) / 9D) as bigint)")
-    checked = pairs.where("sure = 0").join(side["a"], "a").join(side["b"], "b").where(differ <= most)
-    return checked.select("a", "b").unionByName(pairs.where("sure = 1").select("a", "b"))
+    side = {x: nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab"}
+
+    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n = [batch.column(c).to_numpy() for c in ("na", "nb")]
+        most = n[0] + n[1] - 2 * least_overlap(*n)
+        near = map(bits_apart, batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
+        keep = pa.array(np.flatnonzero(np.fromiter(near, np.int64, len(most)) <= most))
+        return batch_of(a=batch.column("a").take(keep), b=batch.column("b").take(keep))
+
+    both = pairs.where("sure = 0").select("a", "b", "na", "nb").join(side["a"], "a").join(side["b"], "b")
+    return map_batches(both, check, "a long, b long").unionByName(pairs.where("sure = 1").select("a", "b"))
 
 
 class PrefixTree:
@@ -344,13 +364,13 @@ def class_links(routed: DataFrame, n: int = 5) -> DataFrame:
     return routed.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long")
 
 
-def classes(docs: DataFrame, n: int = 5, task_grams: int = 1_000_000) -> DataFrame:
+def classes(docs: DataFrame, n: int = 5, task_grams: int = 2_000_000) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``node`` and ``component_id`` of every row."""
     described = staged(describe(docs, n))
-    members = described.where("gram is null").select("doc_id", "n_shingles", "node", *[f"s{k}" for k in range(SKETCH)])
+    members = described.where("gram is null").select("doc_id", "n_shingles", "node", "sketch")
     nodes = staged(
         members.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(
-            F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(SKETCH)]
+            F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.max("sketch").alias("sketch")
         )
     )
     known = docs.where(F.col("doc_id").isNotNull())
