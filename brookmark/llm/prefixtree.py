@@ -1,8 +1,8 @@
 """Jaccard join of word n-gram sets with prefix trees, exact and without pairs of copies.
 
-1. One scan gives every document its set's size and digest, so that equal sets become one node, and
-   finds n-grams that many documents share.
-2. Those n-grams go last in the one order that all sets are sorted by. A second scan emits each node's
+1. A scan gives every document its set's size and digest, so that equal sets become one node; another
+   finds the n-grams that many documents share.
+2. Those n-grams go last in the one order that all sets are sorted by. A third scan emits each node's
    prefix in that order: two sets similar enough share an n-gram of their prefixes, and passages that
    many unlike documents share do not stand in prefixes. Order changes the work, never the result.
 3. Nodes that share a prefix n-gram and pass the size, position and bitmap bounds (all of them
@@ -86,60 +86,54 @@ def prefix_size(n: int) -> int:
     return n - -(-4 * n // 5) + 1 if n else 0
 
 
-def describe(docs: DataFrame, n: int = 5, chunk: int = 2_000_000, often: int = 3) -> DataFrame:
-    """Members and often-shared n-grams in one scan.
+def describe(docs: DataFrame, n: int = 5) -> DataFrame:
+    """doc_id, n_shingles, node and sketch of every document."""
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [gram_set(text, n) for text in raw(batch.column("text"))]
+        return batch_of(
+            doc_id=batch.column("doc_id"), n_shingles=np.array([len(s) for s in sets], np.int64),
+            node=signed(np.array([_digest(s) for s in sets], np.uint64)), sketch=pa.array([sketch_of(s) for s in sets], pa.binary()),
+        )
+
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles long, node long, sketch binary")
+
+
+def last_in_order(docs: DataFrame, n: int = 5, bits: int = 1 << 26, shared_by: int = 24, chunk: int = 2_000_000) -> np.ndarray:
+    """Bitmap of the n-grams that go last: 8 MB whatever the input; others may fall on a set bit.
 
-    Rows with null ``gram`` are documents: doc_id, n_shingles, node and sketch. The others are n-grams met ``often``
-    or more times in some ``chunk`` of n-grams of distinct sets, with that number in n_shingles.
+    Counted are the n-grams that would stand in a prefix or half as far behind it if hashes alone
+    gave the order, by the bit they fall on and over all documents; sums over a chunk of
+    n-grams leave the scan.
     """
-    kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
 
-        def frequent(like: pa.DataType) -> pa.RecordBatch:
-            grams, times = np.unique(np.concatenate(held), return_counts=True)
-            grams, times = grams[times >= often], times[times >= often]
-            blank = np.zeros(len(grams), np.int64)
-            return batch_of(
-                doc_id=pa.nulls(len(grams), like), n_shingles=times.astype(np.int64), node=blank,
-                sketch=pa.nulls(len(grams), pa.binary()), gram=signed(grams),
-            )
+        def counted() -> pa.RecordBatch:
+            slots, times = np.unique(np.concatenate(held), return_counts=True)
+            return batch_of(slot=slots, times=times.astype(np.int32))
 
-        like = pa.int64()
         for batch in batches:
-            like = batch.column("doc_id").type
-            sizes, nodes, sketches = [], [], []
             for text in raw(batch.column("text")):
                 grams = gram_set(text, n)
                 node = _digest(grams)
-                sizes.append(len(grams))
-                nodes.append(node)
-                sketches.append(sketch_of(grams))
-                if node not in seen and len(grams):
-                    seen.add(node)
-                    held.append(grams)
-                    size += len(grams)
+                if node in seen or not len(grams):
+                    continue
+                seen.add(node)
+                front = grams[: -(-3 * prefix_size(len(grams)) // 2)]
+                held.append((front & np.uint64(bits - 1)).astype(np.int32))
+                size += len(front)
                 if size >= chunk:
-                    yield frequent(like)
+                    yield counted()
                     held, size, seen = [], 0, set()
-            yield batch_of(
-                doc_id=batch.column("doc_id"), n_shingles=np.array(sizes, np.int64), node=signed(np.array(nodes, np.uint64)),
-                sketch=pa.array(sketches, pa.binary()), gram=pa.nulls(batch.num_rows, pa.int64()),
-            )
         if held:
-            yield frequent(like)
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, sketch binary, gram long")
-
+            yield counted()
 
-def last_in_order(described: DataFrame, bits: int = 1 << 26, shared_by: int = 24) -> np.ndarray:
-    """Bitmap of the n-grams that go last, 8 MB whatever the input; others may fall on a set bit."""
-    words = (
-        described.where("gram is not null").groupBy("gram").agg(F.sum("n_shingles").alias("times"))
-        .where(F.col("times") >= shared_by)
-        .select(F.pmod("gram", F.lit(bits)).alias("at"))
-        .groupBy(F.expr("at div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("set"))
+    slots = docs.select("text").mapInArrow(run, "slot int, times int").groupBy("slot").agg(F.sum("times").alias("times"))
+    words = slots.where(F.col("times") >= shared_by).groupBy(F.expr("slot div 64").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, slot % 64))").alias("set")
     ).toArrow()  # at most bits / 64 rows
     out = np.zeros(bits // 64, np.int64)
     out[words.column("word").to_numpy()] = words.column("set").to_numpy()
@@ -366,15 +360,14 @@ def class_links(routed: DataFrame, n: int = 5) -> DataFrame:
 
 def classes(docs: DataFrame, n: int = 5, task_grams: int = 2_000_000) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``node`` and ``component_id`` of every row."""
-    described = staged(describe(docs, n))
-    members = described.where("gram is null").select("doc_id", "n_shingles", "node", "sketch")
+    members = staged(describe(docs, n))
     nodes = staged(
         members.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(
             F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.max("sketch").alias("sketch")
         )
     )
     known = docs.where(F.col("doc_id").isNotNull())
-    pairs = staged(meetings(prefixes(known, last_in_order(described), n)))
+    pairs = staged(meetings(prefixes(known, last_in_order(known, n), n)))
     groups = staged(components(candidates(pairs, nodes)))
 
     # what each component weighs decides on its blocks; every set goes to as many tasks as it has blocks
