@@ -22,7 +22,13 @@ _digest = xxhash.xxh3_64_intdigest
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Arrow batches of few rows, since one row may be a very long text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

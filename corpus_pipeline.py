@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from brookmark.llm import bpe, crf, decontaminate, lineindex, prefixtree
 from brookmark.llm.queries import rank_file
-from brookmark.llm.text import fold_of, read, staged
+from brookmark.llm.text import fold_of, read, small_batches, staged
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +25,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many share."""
+    small_batches(spark)
     cut = lineindex.dedup_lines(docs)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -33,6 +34,7 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
+    small_batches(spark)
     return prefixtree.keep_one(docs)
 
 
@@ -43,6 +45,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts, and the digest of what they decode to."""
+    small_batches(spark)
     coded = bpe.encode(docs, rank_file(), public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
