@@ -13,9 +13,10 @@ decode to nothing. Repeated rows are encoded each.
 from __future__ import annotations
 
 import base64
-import heapq
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -66,6 +67,7 @@ class Vocabulary:
         self.keys = [keys[i] for i in order]
         self.ids = [ranks[k] for k in self.keys]
         self.ranks = ranks
+        self.two = [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         self.pieces = {rank: key for key, rank in ranks.items()}
         self.longest = max(map(len, keys), default=0)
 
@@ -88,16 +90,13 @@ class Vocabulary:
         entry is rank * n + position; it is stale once the pair at that position has another rank.
         """
         n, rank_of = len(token), self.ranks.get
-        ends, before, pair = list(range(1, n + 1)), list(range(-1, n)), [-1] * n
-        heap = []
-        for i in range(n - 1):
-            rank = rank_of(token[i : i + 2])
-            if rank is not None:
-                pair[i] = rank
-                heap.append(rank * n + i)
-        heapq.heapify(heap)
+        ends, before = list(range(1, n + 1)), list(range(-1, n))
+        pair = [self.two[a << 8 | b] for a, b in zip(token, token[1:])]
+        pair.append(-1)
+        heap = [rank * n + i for i, rank in enumerate(pair) if rank >= 0]
+        heapify(heap)
         while heap:
-            rank, i = divmod(heapq.heappop(heap), n)
+            rank, i = divmod(heappop(heap), n)
             if pair[i] != rank:
                 continue
             j = ends[i]
@@ -106,13 +105,13 @@ class Vocabulary:
             before[end] = i
             if end < n and (rank := rank_of(token[i : ends[end]])) is not None:
                 pair[i] = rank
-                heapq.heappush(heap, rank * n + i)
+                heappush(heap, rank * n + i)
             left = before[i]
             if left >= 0:
                 rank = rank_of(token[left:end])
                 pair[left] = -1 if rank is None else rank
                 if rank is not None:
-                    heapq.heappush(heap, rank * n + left)
+                    heappush(heap, rank * n + left)
         ids, i = [], 0
         while i < n:
             ids.append(self.ranks[token[i : ends[i]]])
@@ -134,7 +133,7 @@ class Encoder:
     becomes the old one, and what is met again moves back to the young one.
     """
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, remember: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, remember: int = 300_000):
         # \s is spelt out: this library would also take the four ASCII separators as white space
         spaces = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]")
         spaces = spaces.replace(r"\s", r"\p{White_Space}").replace(r"(?!\S)", r"(?!\P{White_Space})")
@@ -157,27 +156,54 @@ def encoder_for(data: bytes, pattern: str) -> Encoder:
     return Encoder(Vocabulary.parse(data), pattern)
 
 
-def encode(docs: DataFrame, vocabulary: bytes, pattern: str, rows: int = 500) -> DataFrame:
-    """All rows and columns with ``ids`` and ``decoded``, which replace columns of those names.
+#: What `encode` can add to a row, with its type.
+OUTPUTS = {
+    "ids": "array<int>", "decoded": "binary", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string",
+}
+
+
+def encode(
+    docs: DataFrame, vocabulary: bytes, pattern: str, add: tuple[str, ...] = ("ids", "decoded"), rows: int = 500
+) -> DataFrame:
+    """All rows and columns with the outputs named in ``add``, which replace columns of those names.
 
-    ``vocabulary`` is the content of a rank file, read on the driver (under 1 MB for 50,000 tokens)
-    and sent with the tasks.
+    Texts are always encoded and decoded again; digests are of the ids in decimal, joined by commas, and
+    of the decoded bytes. ``vocabulary`` is the content of a rank file, read on the driver (under 1 MB
+    for 50,000 tokens) and sent with the tasks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    plain = docs.drop("ids", "decoded")
+    plain = docs.drop(*add)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(shared.value, pattern)
         for batch in sliced(batches, rows):
-            texts = [(t or b"").decode("utf-8") for t in raw(batch.column("text"))]
-            ids = [encoder.encode(t) for t in texts]
-            back = [encoder.vocabulary.decode(i) for i in ids]
-            sizes = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1]))
-            columns = [
-                *batch.columns, pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat)), pa.array(back, pa.binary())
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "ids", "decoded"])
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in plain.dtypes) + ", ids array<int>, decoded binary"
+            made: dict[str, list] = {name: [] for name in add}
+            for text in raw(batch.column("text")):
+                ids = encoder.encode((text or b"").decode("utf-8"))
+                back = encoder.vocabulary.decode(ids)
+                for name, column in made.items():
+                    column.append(_output(name, ids, back))
+            columns = [_ids_column(c) if n == "ids" else pa.array(c, _ARROW[n]) for n, c in made.items()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *add])
+
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in plain.dtypes), *(f"{n} {OUTPUTS[n]}" for n in add)])
     return plain.mapInArrow(run, schema)
+
+
+_ARROW = {"decoded": pa.binary(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+
+
+def _output(name: str, ids: list[int], back: bytes):
+    if name == "n_tokens":
+        return len(ids)
+    if name == "ids_sha256":
+        return hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    if name == "decoded_sha256":
+        return hashlib.sha256(back).hexdigest()
+    return ids if name == "ids" else back
+
+
+def _ids_column(ids: list[list[int]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))

@@ -61,12 +61,9 @@ def rank_file(name: str = RANKS) -> bytes:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), rank_file(), public_tokenizers.PATTERN)
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        sha_of(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    digests = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode(docs, rank_file(), public_tokenizers.PATTERN, digests).drop("text")
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

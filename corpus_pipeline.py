@@ -46,11 +46,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts, and the digest of what they decode to."""
     small_batches(spark)
-    coded = bpe.encode(docs, rank_file(), public_tokenizers.PATTERN)
-    return coded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    added = ("n_tokens", "ids", "decoded_sha256")
+    return bpe.encode(docs, rank_file(), public_tokenizers.PATTERN, added).select("doc_id", "lang", "source", *added)
 
 
 STAGES = [
