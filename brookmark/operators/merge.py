@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 
 def latest_by_key(
-    df: DataFrame, key: str | Sequence[str], version: str, tiebreak: Sequence[str] = ()
+    df: DataFrame, key: str | Sequence[str], version: str | None, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
-    """The row with the highest (version, *tiebreak) of every key.
+    """The row with the highest (version, *tiebreak) of every key; without a version, the tie-break decides.
 
     Written as ``row_number() == 1``: Spark turns that into a group limit that runs before the
     shuffle, so each task sends at most one row per key and a hot key cannot pile up anywhere.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(c).desc_nulls_last() for c in (version, *tiebreak)]
+    order = [F.col(c).desc_nulls_last() for c in (*([version] if version else []), *tiebreak)]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
@@ -57,7 +57,7 @@ def merge_upsert(
 
 
 def prepare_batch(
-    batch: DataFrame, key: str, version: str, tiebreak: Sequence[str] = ()
+    batch: DataFrame, key: str, version: str | None, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
     """One row per key before a merge: a landed day may hold several versions of a key."""
     return latest_by_key(batch, key, version, tiebreak)

@@ -322,7 +322,7 @@ def metric_total(df: DataFrame, by: str | Sequence[str], value: str, how: str =
 
 def rename_metrics(df: DataFrame, name: str,
                    rules: list[tuple[str, str, tuple[str, ...]]] = METRIC_NAMES) -> DataFrame:
-    """Dotted names to a metric name and a label map; names no rule matches are dropped."""
+    """Dotted names to a metric name and a label map; a name no rule matches stays as it is, without labels."""
     parts = F.split(F.col(name), r"\.")
     metric, labels = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
     for pattern, target, label_names in reversed(rules):
@@ -338,4 +338,5 @@ def rename_metrics(df: DataFrame, name: str,
         found = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
         metric = F.when(fits, F.lit(target)).otherwise(metric)
         labels = F.when(fits, found).otherwise(labels)
-    return df.withColumns({"metric": metric, "labels": labels}).where(F.col("metric").isNotNull())
+    bare = F.create_map().cast("map<string,string>")
+    return df.withColumns({"metric": F.coalesce(metric, F.col(name)), "labels": F.coalesce(labels, bare)})

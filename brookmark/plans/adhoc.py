@@ -27,19 +27,23 @@ class Answer:
 
 
 def safe_sql(spark: SparkSession, text: str, limit: int = MAX_ROWS) -> DataFrame:
-    """At most ``limit + 1`` rows of one SELECT (or WITH ... SELECT) statement.
+    """At most ``limit`` rows of one SELECT (or WITH ... SELECT) statement.
 
     The text is embedded as a subquery, so Spark's own grammar turns away anything that is not a
     single query: commands, DML after WITH, and a second statement. A trailing semicolon is fine.
     """
     body = _single_query(text)
-    return spark.sql(f"SELECT * FROM (\n{body}\n) AS bounded LIMIT {int(limit) + 1}")
+    return spark.sql(f"SELECT * FROM (\n{body}\n) AS bounded LIMIT {int(limit)}")
 
 
 def bounded_query(spark: SparkSession, text: str, limit: int = MAX_ROWS) -> Answer:
-    """Result of a query cut at ``limit`` rows, and whether there were more."""
-    rows = safe_sql(spark, text, limit)
-    return Answer(rows.limit(limit), len(rows.take(limit + 1)) > limit)
+    """Result of a query cut at ``limit`` rows, and whether there were more; the query runs once.
+
+    One row beyond the limit tells whether there are more; so few rows are held by the driver.
+    """
+    cut = safe_sql(spark, text, limit + 1)
+    held = cut.toArrow()
+    return Answer(spark.createDataFrame(held.slice(0, limit), cut.schema), held.num_rows > limit)
 
 
 def row_count(spark: SparkSession, text: str) -> int:

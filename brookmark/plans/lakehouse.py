@@ -31,16 +31,21 @@ def transform_day(spark: SparkSession, root: str, spec: TableSpec, day: str | No
                   guard: bool = True) -> bool:
     """Merge one landed day into its silver table; False when there is nothing to do.
 
-    With the guard, a rerun of an older day cannot overwrite newer rows.
+    With the guard, a rerun of an older day cannot overwrite newer rows. Rows without a key are
+    kept in ``rejects/<table>_source/<day>``, where a rerun replaces them; they are not merged.
     """
     landed = read_bronze_day(spark, f"{root}/bronze", spec, day)
     if landed.isEmpty():
         return False
+    keyless = landed.where(F.col(spec.primary_key).isNull())
+    if not keyless.isEmpty():
+        keyless.write.mode("overwrite").parquet(f"{root.rstrip('/')}/rejects/{spec.name}_source/{day or 'all'}")
+        landed = landed.where(F.col(spec.primary_key).isNotNull())
     silver_table(spark, root, spec).merge(
         silver_batch(landed, spec),
         SILVER_UPDATE_COLUMNS[spec.name],
         version="updated_at" if guard else None,
-        keys=landed.where(F.col(spec.primary_key).isNotNull()),
+        keys=landed,
     )
     return True
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -64,15 +64,16 @@ def raw_table(spark: SparkSession, root: str, spec: TableSpec, width: int | None
 
 
 def ingest(spark: SparkSession, source: DataFrame, root: str, spec: TableSpec,
-           logical_time: datetime) -> int:
+           logical_time: datetime, overlap: timedelta = timedelta(0)) -> int:
     """One incremental load of a table into the landing area and the raw layer; rows synced.
 
-    A row without a key fails the landing write before anything is committed. The landed files
+    A table without a cursor is loaded in full. ``overlap`` reaches back behind the mark for late
+    commits. Versions of a key with one cursor value are settled by all other columns. A row without a key fails the landing write before anything is committed. The landed files
     are read back for the merge, so the source is read once.
     """
     raw = raw_table(spark, root, spec)
     stored = raw.read_or_none()
-    fresh = extract_incremental(source, stored, spec)
+    fresh = extract_incremental(source, stored, spec, overlap)
     loaded = write_bronze(guard_keys(fresh, spec), f"{root}/bronze", spec, logical_time)
     synced = loaded.get["rows_synced"]
     if synced == 0:
@@ -81,7 +82,8 @@ def ingest(spark: SparkSession, source: DataFrame, root: str, spec: TableSpec,
         f"{root.rstrip('/')}/bronze/{spec.name}_source/ingest_date={logical_time:%Y-%m-%d}"
         f"/run_id={logical_time:%Y%m%dT%H%M%S}"
     )
-    batch = prepare_batch(landed, spec.primary_key, spec.cursor_column)
+    others = [c for c in spec.schema.names if c not in (spec.primary_key, spec.cursor_column)]
+    batch = prepare_batch(landed, spec.primary_key, spec.cursor_column, others)
     for column in spec.unique_columns:
         assert_no_conflicts(stored, batch, column, spec.primary_key)
     raw.merge(batch, spec.update_columns, version=None, keys=landed)
@@ -89,11 +91,11 @@ def ingest(spark: SparkSession, source: DataFrame, root: str, spec: TableSpec,
 
 
 def ingest_all(spark: SparkSession, sources: dict[str, DataFrame], root: str,
-               logical_time: datetime, threads: int = 4) -> dict[str, int]:
+               logical_time: datetime, threads: int = 4, overlap: timedelta = timedelta(0)) -> dict[str, int]:
     """Independent tables load side by side in one session."""
     with ThreadPoolExecutor(threads) as pool:
         jobs = {
-            name: pool.submit(ingest, spark, df, root, CATALOG[name], logical_time)
+            name: pool.submit(ingest, spark, df, root, CATALOG[name], logical_time, overlap)
             for name, df in sources.items()
         }
         return {name: job.result() for name, job in jobs.items()}

@@ -253,13 +253,13 @@ ORACLE = {
     "metric_names": """
         select case event_type when 'signup' then 'airflow_dagrun_duration_success'
                     when 'error' then 'airflow_dagrun_duration_failed' when 'click' then 'airflow_task_duration'
-                    else 'etl_rows_synced' end as metric,
-               case event_type when 'click' then 'clicks' when 'view' then null
-                    else 'u' || cast(user_id as varchar) end as dag_id,
+                    when 'view' then 'etl_rows_synced' else 'airflow.unknown.' || event_type end as metric,
+               case event_type when 'click' then 'clicks' when 'signup' then 'u' || cast(user_id as varchar)
+                    when 'error' then 'u' || cast(user_id as varchar) end as dag_id,
                case when event_type = 'click' then 'u' || cast(user_id as varchar) end as task_id,
                case when event_type = 'view' then 'views' end as source_table,
                cast(sum(cast(value as decimal(18,2))) as decimal(28,2)) as value
-        from events where event_type in ('signup', 'error', 'click', 'view') group by 1, 2, 3, 4""",
+        from events group by 1, 2, 3, 4""",
     "message_rate": """
         select time_bucket(interval '5' minute, ts) as window_start, event_type, count(*) as messages,
                round(count(*) / 300.0, 9) as per_second from events group by 1, 2""",

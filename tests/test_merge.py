@@ -71,3 +71,8 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, tmp_path):
 def test_unique_violations(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (3, "y"), (4, None), (5, None)], "k long, e string")
     assert rows(unique_violations(df, "e", "k")) == [("y", 2)]
+
+
+def test_latest_without_a_version_is_settled_by_the_tie_break(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, v string")
+    assert sorted(map(tuple, latest_by_key(df, "k", None, ["v"]).collect())) == [(1, "b"), (2, None)]

@@ -139,6 +139,8 @@ def test_metric_names(spark):
         names[0]: ("etl_source_freshness_lag_seconds", {"table": "orders"}),
         names[1]: ("airflow_task_duration", {"dag_id": "d1", "task_id": "t1"}),
         names[2]: ("airflow_ti_failures", {}),
+        names[3]: (names[3], {}),
+        names[4]: (names[4], {}),
     }
 
 

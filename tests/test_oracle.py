@@ -5,10 +5,12 @@ import io
 
 import oracle
 import pytest
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+
+from brookmark.workload import all_oracles, all_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
