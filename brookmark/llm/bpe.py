@@ -133,7 +133,7 @@ class Encoder:
     becomes the old one, and what is met again moves back to the young one.
     """
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, remember: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, remember: int = 700_000):
         # \s is spelt out: this library would also take the four ASCII separators as white space
         spaces = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]")
         spaces = spaces.replace(r"\s", r"\p{White_Space}").replace(r"(?!\S)", r"(?!\P{White_Space})")
