@@ -1,4 +1,7 @@
-"""The alert rules over metric samples; each gives the samples or stretches that would fire."""
+"""The alert rules over metric samples; each gives the samples or stretches that would fire.
+
+A stretch ends where no sample comes for ``max_gap`` seconds; set it above the sample interval.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookmark.operators.metrics import (
+    STALE_AFTER,
     hold,
     increase,
     metric_total,
@@ -31,29 +35,35 @@ def failed_runs(counter: DataFrame, ts: str, series: str, value: str) -> DataFra
     return increase(counter, ts, series, value, FAILED_RUN_WINDOW).where(F.col("increase") > 0)
 
 
-def import_errors(gauge: DataFrame, ts: str, series: str, value: str) -> DataFrame:
-    return hold(gauge, ts, series, F.col(value) > 0, IMPORT_ERROR_HOLD)
+def import_errors(gauge: DataFrame, ts: str, series: str, value: str, max_gap: int = STALE_AFTER) -> DataFrame:
+    return hold(gauge, ts, series, F.col(value) > 0, IMPORT_ERROR_HOLD, max_gap=max_gap)
 
 
 def lagging_consumers(lag: DataFrame, ts: str, group: str, value: str,
-                      limit: int = CONSUMER_LAG_LIMIT, duration: int = CONSUMER_LAG_HOLD) -> DataFrame:
+                      limit: int = CONSUMER_LAG_LIMIT, duration: int = CONSUMER_LAG_HOLD,
+                      max_gap: int = STALE_AFTER) -> DataFrame:
     """Consumer groups whose lag, summed over topics and partitions, stays above a limit."""
-    return hold(metric_total(lag, [group, ts], value), ts, group, F.col(value) > limit, duration)
+    total = metric_total(lag, [group, ts], value)
+    return hold(total, ts, group, F.col(value) > limit, duration, max_gap=max_gap)
 
 
 def low_share(samples: DataFrame, ts: str, series: str, part: str, whole: str,
-              limit: float = DISK_LOW_RATIO, duration: int = DISK_LOW_HOLD) -> DataFrame:
+              limit: float = DISK_LOW_RATIO, duration: int = DISK_LOW_HOLD,
+              max_gap: int = STALE_AFTER) -> DataFrame:
     """Stretches in which the share of free space stays under a limit; a zero size never counts."""
     share = F.col(part).cast("double") / F.nullif(F.col(whole).cast("double"), F.lit(0.0))
-    return hold(samples.withColumn("share", share), ts, series, F.col("share") < limit, duration)
+    shares = samples.withColumn("share", share)
+    return hold(shares, ts, series, F.col("share") < limit, duration, max_gap=max_gap)
 
 
-def critical_share(samples: DataFrame, ts: str, series: str, part: str, whole: str) -> DataFrame:
-    return low_share(samples, ts, series, part, whole, DISK_CRITICAL_RATIO, DISK_CRITICAL_HOLD)
+def critical_share(samples: DataFrame, ts: str, series: str, part: str, whole: str,
+                   max_gap: int = STALE_AFTER) -> DataFrame:
+    return low_share(samples, ts, series, part, whole, DISK_CRITICAL_RATIO, DISK_CRITICAL_HOLD, max_gap)
 
 
 def will_run_out(gauge: DataFrame, ts: str, series: str, value: str, lookback: int = DISK_LOOKBACK,
-                 ahead: int = DISK_AHEAD, duration: int = DISK_FORECAST_HOLD) -> DataFrame:
+                 ahead: int = DISK_AHEAD, duration: int = DISK_FORECAST_HOLD,
+                 max_gap: int = STALE_AFTER) -> DataFrame:
     """Stretches in which the trend of the last hours stays below zero a day ahead."""
     forecast = predict_rolling(gauge, ts, series, value, lookback, ahead)
-    return hold(forecast, ts, series, F.col("predicted") < 0, duration)
+    return hold(forecast, ts, series, F.col("predicted") < 0, duration, max_gap=max_gap)

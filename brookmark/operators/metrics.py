@@ -23,6 +23,9 @@ ANOMALY_LIMIT = 3.0
 HISTORY_DAYS = 30
 MINIMUM_DAYS = 8
 
+#: Seconds after which a series without a new sample counts as silent, unless a caller says otherwise.
+STALE_AFTER = 300
+
 # Dotted metric name (``*`` matches one segment) -> metric name, label per ``*``.
 METRIC_NAMES: list[tuple[str, str, tuple[str, ...]]] = [
     ("airflow.dagrun.duration.success.*", "airflow_dagrun_duration_success", ("dag_id",)),
@@ -203,30 +206,35 @@ def rate(df: DataFrame, ts: str, series: str | Sequence[str], value: str, window
 
 
 def hold(df: DataFrame, ts: str, series: str | Sequence[str], condition: Column, duration: int,
-         slice_seconds: int = 3_600) -> DataFrame:
+         slice_seconds: int = 3_600, max_gap: int = STALE_AFTER) -> DataFrame:
     """Stretches in which a condition stayed true for at least ``duration`` seconds.
 
-    All true samples after the same last false sample form one stretch, so stretches are plain
-    groups and are combined before any shuffle.
+    A stretch ends at a false sample, and where the next sample comes more than ``max_gap`` seconds
+    later. Both are marks; all true samples with the same last mark form one stretch, so stretches
+    are plain groups. A slice is summed up by its ends and its last mark.
     """
     keys = _names(series)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(ts)
+    silent = F.expr(f"interval {max_gap} seconds")
     sliced = df.select(
         *keys, ts, _slice(ts, slice_seconds).alias("_slice"),
         F.coalesce(condition, F.lit(False)).alias("_true"),
     )
-    false_at = F.when(~F.col("_true"), F.col(ts))
-    ends = sliced.groupBy(*keys, "_slice").agg(F.max(false_at).alias("_end"))
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    marks = sliced.withColumn(
+        "_mark", F.when(~F.col("_true") | (F.lag(ts).over(inside) + silent < F.col(ts)), F.col(ts))
     )
-    carried = ends.select(*keys, "_slice", F.max("_end").over(earlier).alias("_carried"))
-    inside = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy(ts)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = marks.groupBy(*keys, "_slice").agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_mark").alias("_end")
+    )
+    by_slice = Window.partitionBy(*keys).orderBy("_slice")
+    opened = slices.withColumn(
+        "_open", F.when(F.lag("_last").over(by_slice) + silent < F.col("_first"), F.col("_first"))
     )
-    marked = sliced.join(carried, [*keys, "_slice"]).withColumn(
-        "_after", F.coalesce(F.max(false_at).over(inside), F.col("_carried"))
+    last_mark = F.max(F.coalesce("_end", "_open")).over(by_slice.rowsBetween(Window.unboundedPreceding, -1))
+    carried = opened.select(*keys, "_slice", F.coalesce("_open", last_mark).alias("_carried"))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = marks.join(carried, [*keys, "_slice"]).withColumn(
+        "_after", F.coalesce(F.max("_mark").over(so_far), F.col("_carried"))
     )
     held = seconds_between(F.col("until"), F.col("since"))
     return (

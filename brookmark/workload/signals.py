@@ -14,6 +14,10 @@ from brookmark.streaming.rates import message_rate
 from brookmark.workload.shapes import NOW, with_stages
 
 
+#: Hourly samples: an hour without one ends a stretch.
+HOURLY_GAP = 3600
+
+
 def _events(spark, d):
     return fixture.base(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -43,8 +47,8 @@ def hourly_gauge(spark, d):
 
 
 def alert_hold(spark, d):
-    """Event types with at least three events in every active hour for two hours or more."""
-    return M.hold(hourly_gauge(spark, d), "hour", "event_type", F.col("n") >= 3, 7200)
+    """Event types with at least three events in every hour for two hours or more."""
+    return M.hold(hourly_gauge(spark, d), "hour", "event_type", F.col("n") >= 3, 7200, max_gap=HOURLY_GAP)
 
 
 def ratio_alert(spark, d):
@@ -54,7 +58,7 @@ def ratio_alert(spark, d):
         F.count_if(F.col("event_type") == "click").alias("clicks"), F.count(F.lit(1)).alias("n")
     )
     whole = hourly.withColumn("series", F.lit("events"))
-    return A.low_share(whole, "hour", "series", "clicks", "n", A.DISK_LOW_RATIO, 3600)
+    return A.low_share(whole, "hour", "series", "clicks", "n", A.DISK_LOW_RATIO, 3600, HOURLY_GAP)
 
 
 def low_ratio_hours(spark, d):
@@ -85,7 +89,7 @@ def lag_alert(spark, d):
     """Types whose hourly event count summed over users exceeds a limit for a stretch of time."""
     hour = F.date_trunc("hour", "ts").alias("hour")
     per_user = _events(spark, d).groupBy("event_type", "user_id", hour).agg(F.count(F.lit(1)).alias("lag"))
-    return A.lagging_consumers(per_user, "hour", "event_type", "lag", limit=2)
+    return A.lagging_consumers(per_user, "hour", "event_type", "lag", limit=2, max_gap=HOURLY_GAP)
 
 
 def predicted(spark, d):
@@ -125,7 +129,7 @@ QUERIES = {
         event_counter(spark, d).where(F.col("event_type") == "error"), "minute", "event_type", "value"
     ),
     "run_out_alert": lambda spark, d: A.will_run_out(
-        hourly_gauge(spark, d), "hour", "event_type", "value"
+        hourly_gauge(spark, d), "hour", "event_type", "value", max_gap=HOURLY_GAP
     ),
     "predict_hourly": predicted_hourly,
     "low_ratio_hours": low_ratio_hours,
@@ -179,9 +183,9 @@ def _held(source: str, key: str, condition: str, seconds: int) -> str:
     return f"""
         select {key}, min(hour) as since, max(hour) as until, count(*) as samples,
                cast(epoch(max(hour)) - epoch(min(hour)) as double) as held_seconds
-        from (select *, row_number() over (partition by {key} order by hour)
-                      - row_number() over (partition by {key}, {condition} order by hour) as island
-              from ({source}) h) i
+        from (select *, sum(case when {condition} and hour - prev <= interval 1 hour then 0 else 1 end)
+                      over (partition by {key} order by hour) as island
+              from (select *, lag(hour) over (partition by {key} order by hour) as prev from ({source}) h) g) i
         where {condition} group by {key}, island
         having epoch(max(hour)) - epoch(min(hour)) >= {seconds}"""
 

@@ -84,9 +84,13 @@ def test_rate_and_restart(spark):
     assert [r.rate for r in rows] == [0.0, 0.5, 65 / 120]
 
 
-def brute_hold(points, duration):
+def brute_hold(points, duration, gap):
     out, run = [], []
     for s, ok in [*points, (None, False)]:
+        if run and s is not None and s - run[-1] > gap:
+            if run[-1] - run[0] >= duration:
+                out.append((run[0], run[-1], len(run)))
+            run = []
         if ok:
             run.append(s)
         elif run:
@@ -100,11 +104,14 @@ def brute_hold(points, duration):
 def test_hold_matches_brute_force(spark, seed):
     rng = random.Random(seed)
     series = {n: [(i * 60, int(rng.random() < p)) for i in range(300)] for n, p in (("a", 0.9), ("b", 0.5), ("c", 1.0))}
+    # samples go missing for minutes and for whole slices
+    series["d"] = [p for p in series["c"] if rng.random() < 0.3]
+    series["e"] = [p for p in series["a"] if p[0] < 3000 or 9000 < p[0] < 9400 or p[0] > 15000]
     got = M.hold(samples(spark, series), "ts", "series", F.col("value") == 1, 300, slice_seconds=1800).collect()
     found = sorted(
         (r.series, int((r.since - T0).total_seconds()), int((r.until - T0).total_seconds()), r.samples) for r in got
     )
-    wanted = sorted((n, *h) for n, p in series.items() for h in brute_hold([(s, v == 1) for s, v in p], 300))
+    wanted = sorted((n, *h) for n, p in series.items() for h in brute_hold([(s, v == 1) for s, v in p], 300, M.STALE_AFTER))
     assert found == wanted
 
 
@@ -170,11 +177,12 @@ def test_rolling_prediction_matches_the_single_one(spark):
 
 def test_alert_rules(spark):
     falling = {"disk": [(i * 600, 30_000 - i * 1000) for i in range(40)], "flat": [(i * 600, 5) for i in range(40)]}
-    out = A.will_run_out(samples(spark, falling), "ts", "series", "value").collect()
+    out = A.will_run_out(samples(spark, falling), "ts", "series", "value", max_gap=600).collect()
     assert [(r.series, r.since, r.samples) for r in out] == [("disk", T0 + timedelta(seconds=600), 39)]
     errors = samples(spark, {"dag": [(0, 0), (60, 1), (120, 1), (4000, 1)]})
     assert A.failed_runs(errors, "ts", "series", "value").count() == 2
-    assert A.import_errors(errors, "ts", "series", "value").count() == 1
+    assert A.import_errors(errors, "ts", "series", "value", max_gap=3880).count() == 1
+    assert A.import_errors(errors, "ts", "series", "value").count() == 0  # nothing was heard for an hour
     disk = spark.createDataFrame(
         [("n", T0 + timedelta(seconds=s), free, 100) for s, free in ((0, 20), (300, 15), (600, 10), (900, 20), (1200, 90))],
         "series string, ts timestamp, free int, size int",
