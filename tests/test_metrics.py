@@ -166,7 +166,7 @@ def test_rolling_prediction_matches_the_single_one(spark):
     df = samples(spark, points)
     rolling = {
         r.ts: r.predicted
-        for r in M.predict_rolling(df, "ts", "series", "value", 3600, 7200, slices_per_window=2).collect()
+        for r in M.predict_rolling(df, "ts", "series", "value", 3600, 7200).collect()
     }
     assert len(rolling) == 199  # the first sample has no trend, nor has the single one
     for i in (1, 5, 12, 13, 50, 199):
@@ -175,6 +175,35 @@ def test_rolling_prediction_matches_the_single_one(spark):
         assert rolling[at] == pytest.approx(single.predicted)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_rolling_prediction_matches_a_fit_of_each_window(spark, seed):
+    rng = random.Random(seed)
+    points = {
+        "uneven": sorted({(rng.randrange(40_000), rng.randrange(1000)) for _ in range(150)}),
+        "edges": [(i * 1800, rng.randrange(50)) for i in range(20)],  # samples on the ends of windows and slices
+        "gaps": [(s, rng.randrange(9)) for s in (0, 100, 9000, 9100, 9100 + 3600, 30_000)],
+        "spike": [(i * 60, 10**15 if i == 5 else 0) for i in range(200)],
+    }
+    points["uneven"] = list({s: (s, v) for s, v in points["uneven"]}.values())
+    got = {
+        (r.series, int((r.ts - T0).total_seconds())): (r.slope, r.predicted)
+        for r in M.predict_rolling(samples(spark, points), "ts", "series", "value", 3600, 7200).collect()
+    }
+    wanted = {}
+    for name, samples_of in points.items():
+        for at, _ in samples_of:
+            inside = [(s - at, v) for s, v in samples_of if at - 3600 <= s <= at]
+            mx, my = (sum(p[i] for p in inside) / len(inside) for i in (0, 1))
+            sxx = sum((s - mx) ** 2 for s, _ in inside)
+            if sxx:
+                slope = sum((s - mx) * (v - my) for s, v in inside) / sxx
+                wanted[name, at] = (slope, my + slope * (7200 - mx), max(v for _, v in inside))
+    assert got.keys() == wanted.keys()
+    for k, (slope, predicted, peak) in wanted.items():
+        assert got[k] == pytest.approx((slope, predicted), rel=1e-6, abs=1e-6 + 1e-12 * peak)
+    assert got["spike", 199 * 60] == (0.0, 0.0)  # nothing of the spike is left
+
+
 def test_alert_rules(spark):
     falling = {"disk": [(i * 600, 30_000 - i * 1000) for i in range(40)], "flat": [(i * 600, 5) for i in range(40)]}
     out = A.will_run_out(samples(spark, falling), "ts", "series", "value", max_gap=600).collect()
