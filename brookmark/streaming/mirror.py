@@ -17,9 +17,12 @@ class Mirror:
     """Versions of one table under ``path``.
 
     ``log/batch_id=<n>`` holds the versions of one micro-batch; a batch that is run again
-    overwrites itself. ``base`` holds compacted versions cut into key slots. Reading is the newest
-    version over both, and because that is idempotent it does not matter which log batches have
-    already reached the base, nor where a compaction was interrupted.
+    overwrites itself. ``base`` holds compacted versions cut into key slots. ``folded`` gets one row
+    per compaction, the last batch that is wholly in the base, once the base is in place; only log
+    batches after it are read. Reading is the newest version over base and log, and because that is
+    idempotent it does not matter where a compaction was interrupted: without its row the batches
+    are read from both. Batches come with rising numbers, as a stream gives them; one at or below the
+    mark may only be a repetition. A rebuild from the first message takes a new path.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, width: int | None = 1_000_000):
@@ -49,16 +52,25 @@ class Mirror:
             .parquet(f"{self.path}/log")
         )
 
-    def _log(self) -> DataFrame:
+    def _stored(self, part: str, schema: T.StructType | str) -> DataFrame:
         try:
-            return self.spark.read.schema(self.schema).parquet(f"{self.path}/log")
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], schema)
+
+    def folded(self) -> int | None:
+        """Last log batch that the base holds."""
+        return self._stored("folded", "upto long").agg(F.max("upto")).first()[0]
+
+    def _log(self) -> DataFrame:
+        """Log batches that the base does not hold yet; the folders of others are not opened."""
+        log, mark = self._stored("log", self.schema), self.folded()
+        return log if mark is None else log.where(F.col("batch_id") > mark)
 
     def versions(self) -> DataFrame:
-        """Every stored version, collapsed or not."""
+        """Every version that counts, collapsed or not."""
         log, base = self._log(), self.base.read_or_none()
         return log if base is None else base.select(*log.columns).unionByName(log)
 
@@ -66,17 +78,29 @@ class Mirror:
         return current(self.versions(), self.spec)
 
     def compact(self, upto: int | None = None) -> None:
-        """Fold log batches into the base, rewriting only the key slots they touch."""
+        """Fold log batches into the base, rewriting only the key slots they touch.
+
+        The last batch is settled first, so that one which arrives meanwhile is left for the next
+        compaction; the mark is written last.
+        """
         log = self._log() if upto is None else self._log().where(F.col("batch_id") <= upto)
+        last = log.agg(F.max("batch_id")).first()[0]
+        if last is None:
+            return
+        log = log.where(F.col("batch_id") <= last)
         news = collapse(log, self.spec)
         stored = self.base.touched(log)
         if stored is not None:
             news = collapse(stored.select(*log.columns).unionByName(log), self.spec)
         self.base.write(news)
-
-    def compacted_batches(self, upto: int) -> DataFrame:
-        """Log folders that a compaction up to a batch has made redundant."""
-        batches = self._log().where(F.col("batch_id") <= upto).select("batch_id").distinct()
+        mark = self.spark.createDataFrame([(last,)], "upto long").coalesce(1)
+        mark.write.mode("append").parquet(f"{self.path}/folded")
+
+    def compacted_batches(self, upto: int | None = None) -> DataFrame:
+        """Log folders that the base has made redundant, all of them or those up to a batch."""
+        mark = self.folded()
+        last = -1 if mark is None else mark if upto is None else min(mark, upto)
+        batches = self._stored("log", self.schema).where(F.col("batch_id") <= last).select("batch_id").distinct()
         return batches.select(
             F.concat(F.lit(f"{self.path}/log/batch_id="), F.col("batch_id").cast("string")).alias("path")
         )

@@ -1,14 +1,16 @@
 import json
 import random
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 
 from brookmark.sources.changelog import read_cdc_files
+from brookmark.sources.files import delete_listed
 from brookmark.sources.fixture import ACTIVITY
 from brookmark.specs import CATALOG, TableSpec
-from brookmark.streaming.cdc import current, merge_latest, parse_cdc, tombstones
+from brookmark.streaming.cdc import collapse, current, merge_latest, parse_cdc, tombstones
 from brookmark.streaming.mirror import Mirror, run_mirror
 from brookmark.streaming.rates import consumer_lag, message_rate
 
@@ -181,6 +183,34 @@ def test_compaction_changes_nothing_wherever_it_stops(spark, tmp_path):
     assert {r.order_id: r.status for r in mirror.current().collect()} == expected
 
 
+def test_folded_batches_are_not_read_again(spark, tmp_path):
+    mirror = Mirror(spark, str(tmp_path / "m"), ORDERS, width=2)
+    assert mirror.folded() is None and mirror.compacted_batches().count() == 0
+    mirror.compact()  # nothing to fold
+    first = parse_cdc(log(spark, *[message("c", k, 1) for k in range(6)]), ORDERS)
+    mirror.append(first, 0)
+    mirror.append(parse_cdc(log(spark, message("u", 1, 5, status="shipped"), message("d", 4, 5)), ORDERS), 1)
+    whole = sorted(tuple(r) for r in mirror.current().collect())
+
+    # stopped between the base and the mark: batches are read from both
+    stopped = Mirror(spark, mirror.path, ORDERS, width=2)
+    stopped.base.write(collapse(stopped._log(), ORDERS))
+    assert sorted(tuple(r) for r in mirror.current().collect()) == whole
+
+    mirror.compact()
+    assert mirror.folded() == 1 and mirror._log().count() == 0
+    assert mirror.versions().count() == 6  # one per key
+    plan = mirror._log()._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*batch_id#\d+L > 1\)", plan)
+    mirror.append(first, 0)  # a repeated batch changes nothing
+    assert sorted(tuple(r) for r in mirror.current().collect()) == whole
+    assert delete_listed(spark, mirror.compacted_batches()) == 2
+    assert sorted(tuple(r) for r in mirror.current().collect()) == whole
+    mirror.append(parse_cdc(log(spark, message("u", 4, 6, status="back")), ORDERS), 2)
+    assert mirror._log().count() == 1 and mirror.compacted_batches().count() == 0
+    assert {r.order_id: r.status for r in mirror.current().collect()}[4] == "back"
+
+
 def test_late_data_and_streamed_rates(spark, tmp_path):
     rows = [(datetime(2024, 1, 1, 0, m), "orders") for m in (0, 1, 4, 6, 11)]
     spark.createDataFrame(rows, "ts timestamp, topic string").coalesce(1).write.parquet(str(tmp_path / "r"))
