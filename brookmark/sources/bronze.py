@@ -49,20 +49,25 @@ def _bronze_schema(spec: TableSpec) -> T.StructType:
     )
 
 
-def read_bronze_history(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    """Every landed run of a table; a root that was never written reads as no rows."""
-    schema = _bronze_schema(spec)
+def _read_under(spark: SparkSession, root: str, spec: TableSpec, folder: str) -> DataFrame:
+    schema, base = _bronze_schema(spec), bronze_root(root, spec)
     try:
-        return spark.read.schema(schema).parquet(bronze_root(root, spec))
+        return spark.read.schema(schema).option("basePath", base).parquet(f"{base}{folder}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def read_bronze_history(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """Every landed run of a table; a root that was never written reads as no rows."""
+    return _read_under(spark, root, spec, "")
+
+
 def read_bronze_day(
     spark: SparkSession, root: str, spec: TableSpec, day: str | None = None
 ) -> DataFrame:
-    """Runs landed on one day (``yyyymmdd``, today by default); only its folders are listed."""
+    """Runs landed on one day (``yyyymmdd``, today by default); only its folder is listed."""
     wanted = datetime.strptime(day, "%Y%m%d").date() if day else date.today()
-    return read_bronze_history(spark, root, spec).where(F.col("ingest_date") == F.lit(wanted))
+    landed = _read_under(spark, root, spec, f"/ingest_date={wanted.isoformat()}")
+    return landed.where(F.col("ingest_date") == F.lit(wanted))
