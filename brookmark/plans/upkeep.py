@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -21,6 +22,7 @@ from brookmark.sources.bronze import bronze_root
 from brookmark.sources.files import delete_listed, list_files
 from brookmark.sources.tables import SnapshotTable
 from brookmark.specs import CATALOG, CLUSTER_COLUMNS, TableSpec
+from brookmark.streaming.mirror import Mirror
 
 RETENTION_DAYS = 7
 KEEP_VERSIONS = 5
@@ -52,11 +54,13 @@ def orphaned_snapshot_files(table: SnapshotTable, now: datetime, min_age_days: i
 
 
 def run_maintenance(spark: SparkSession, root: str, now: datetime, rewrite: bool = False,
-                    days: int = RETENTION_DAYS, target_bytes: int = TARGET_BYTES) -> dict[str, int]:
+                    days: int = RETENTION_DAYS, target_bytes: int = TARGET_BYTES,
+                    snapshots: Sequence[SnapshotTable] = (), mirrors: Sequence[Mirror] = ()) -> dict[str, int]:
     """Delete landed files past retention; with ``rewrite`` also compact the silver tables.
 
-    Tables that do not exist yet are passed over. Returns how many files went and folders were
-    rewritten.
+    Of ``snapshots`` old versions and orphaned files go as well, of ``mirrors`` the log folders their
+    base holds; each adds its counts. Tables that do not exist yet are passed over. Returns how many
+    files and folders went and folders were rewritten.
     """
     done = {"bronze_files_deleted": 0, "silver_folders_rewritten": 0}
     for spec in CATALOG.values():
@@ -71,4 +75,10 @@ def run_maintenance(spark: SparkSession, root: str, now: datetime, rewrite: bool
             done["silver_folders_rewritten"] += compact(
                 spark, table.path, target_bytes, order_by=CLUSTER_COLUMNS[spec.name]
             )
+    if snapshots:
+        written = [t for t in snapshots if t.current() is not None]
+        done["versions_expired"] = sum(delete_listed(spark, expired_snapshots(t, now, days), "folder") for t in written)
+        done["orphan_files_deleted"] = sum(delete_listed(spark, orphaned_snapshot_files(t, now)) for t in written)
+    if mirrors:
+        done["log_folders_retired"] = sum(delete_listed(spark, m.compacted_batches()) for m in mirrors)
     return done

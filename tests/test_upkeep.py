@@ -10,6 +10,7 @@ from brookmark.sources.bronze import read_bronze_history, write_bronze
 from brookmark.sources.files import delete_listed, list_files
 from brookmark.sources.tables import SnapshotTable
 from brookmark.specs import CATALOG
+from brookmark.streaming.mirror import Mirror
 
 SPEC = CATALOG["orders"]
 NOW = datetime(2024, 3, 10, 9)
@@ -60,6 +61,22 @@ def test_snapshot_expiry_and_orphans(spark, tmp_path):
     assert orphaned_snapshot_files(table, NOW).count() == 0
 
 
+def test_the_run_expires_versions_orphans_and_folded_batches(spark, tmp_path):
+    table, unwritten = (SnapshotTable(spark, str(tmp_path / n)) for n in ("t", "u"))
+    later = datetime.now() + timedelta(days=30)
+    for days in range(20, 12, -1):
+        table.commit(spark.range(days), at=later - timedelta(days=days))
+    spark.range(3).coalesce(1).write.parquet(table.folder(99))
+    mirror = Mirror(spark, str(tmp_path / "m"), SPEC)
+    mirror.append(batch(spark, 1, 2).withColumns({"ver": F.lit(1).cast("long"), "is_deleted": F.lit(False)}), 0)
+    mirror.compact()
+    done = run_maintenance(spark, str(tmp_path), later, snapshots=[table, unwritten], mirrors=[mirror])
+    assert (done["versions_expired"], done["orphan_files_deleted"], done["log_folders_retired"]) == (3, 1, 1)
+    again = run_maintenance(spark, str(tmp_path), later, snapshots=[table, unwritten], mirrors=[mirror])
+    assert not any(again.values())
+    assert table.read().count() == 13 and mirror.current().count() == 2
+
+
 def test_command_line():
     args = _parser().parse_args(["transform", "orders", "20240301", "--root", "/data"])
     assert (args.job, args.table, args.day, args.root) == ("transform", "orders", "20240301", "/data")
