@@ -3,9 +3,9 @@
 1. A scan finds the frequent words (``share`` of all tokens or more, so at most 1 / share of them) and
    counts their bigrams. Exchange clustering assigns them to ``classes`` classes: each word in turn goes where the
    likelihood of the class bigrams gains most, until a sweep moves none.
-2. Documents are dealt to blocks by hash. Per block one row for each distinct word gives its training count and the class
-   that its neighbours in frequent classes speak for most: the exchange step for all other words.
-   Sums over blocks give exact counts of all words; they go back to the blocks a word stands in.
+2. Documents are dealt to blocks by hash. Per block one row for each distinct word gives its training count and how
+   often each frequent class stands before and behind it. Sums over blocks give exact counts of all words and the class
+   that all their neighbours speak for most: the exchange step for all other words. Both go back to the blocks a word stands in.
    No task ever holds more vocabulary than its own block has, whatever the corpus.
 3. Blocks are read a second time, with their words' counts and classes beside them. A document gives
    its class bigrams and the sums of the logarithms that do not depend on totals; the
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from brookmark.llm.text import batch_of, packed, raw, signed, staged, unpack, word_hashes
 
 END = np.uint64(0)
-_FIXED = 1 << 40  # a vote that no evidence outweighs
 
 
 def tokens_of(text: bytes | None) -> np.ndarray:
@@ -163,16 +162,17 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.
 
 
 def block_words(blocks: DataFrame, frequent, classes: int) -> DataFrame:
-    """(block, word, n, vote): each distinct word of a block, its training count there, and a vote."""
-    shared = blocks.sparkSession.sparkContext.broadcast(frequent)
+    """(block, word, n, known, near): each distinct word of a block with its training count there.
+
+    ``known`` is a frequent word's class. For the others ``near`` counts the frequent classes beside
+    them in training documents: 128 x count + class, and 64 more for the class that comes behind.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(frequent[:2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, cls, table = shared.value
-        smooth = table + 0.5
-        before = np.log(smooth / smooth.sum(1, keepdims=True))  # class given the one before
-        behind = np.log(smooth.T / smooth.sum(0)[:, None])  # class given the one behind
+        names, cls = shared.value
         for block, parts in _by_block(batches):
-            texts, learn = [], []
+            texts, learn = [np.array([END])], [False]  # the first document starts after an end, as all others do
             for part in parts:
                 texts += [tokens_of(t) for t in unpack(part.column("packed"))]
                 learn += part.column("learn").to_pylist()
@@ -185,20 +185,74 @@ def block_words(blocks: DataFrame, frequent, classes: int) -> DataFrame:
                 place = np.minimum(np.searchsorted(names, words), len(names) - 1)
                 kind = np.where(names[place] == words, cls[place], -1)
             near = kind[at]
-            evidence = np.zeros((k, classes), np.float32)
-            for word, other, law in ((at[1:], near[:-1], before), (at[:-1], near[1:], behind)):
-                use = (other >= 0) & train[1:] & train[:-1] & (kind[word] < 0)
-                seen = np.bincount(word[use] * classes + other[use], minlength=k * classes).reshape(k, classes)
-                evidence += seen.astype(np.float32) @ law.astype(np.float32)
-            best = evidence.argmax(1)
-            weight = np.minimum((evidence.max(1) - evidence.mean(1)) * 1000, _FIXED // 128).astype(np.int64)
-            vote = np.where(kind >= 0, _FIXED + kind, np.where(weight > 0, weight * 64 + best, -1))
+            use = train & (near < 0) & (words[at] != END)
+            found = []
+            for word, other, on, side in ((at[1:], near[:-1], use[1:], 0), (at[:-1], near[1:], use[:-1], 64)):
+                on = on & (other >= 0)
+                found.append(word[on] * 128 + other[on] + side)
+            code, times = np.unique(np.concatenate(found), return_counts=True)
+            ends = np.searchsorted(code // 128, np.arange(k + 1)).astype(np.int32)
             yield batch_of(
-                block=np.full(k, block, np.int64), word=signed(words),
-                n=np.bincount(at[train], minlength=k).astype(np.int64), vote=vote.astype(np.int64),
+                block=np.full(k, block, np.int64), word=signed(words), n=np.bincount(at[train], minlength=k).astype(np.int64),
+                known=kind.astype(np.int16), near=pa.ListArray.from_arrays(pa.array(ends), pa.array(times * 128 + code % 128, pa.int64())),
             )
 
-    return blocks.mapInArrow(run, "block long, word long, n long, vote long")
+    return blocks.mapInArrow(run, "block long, word long, n long, known short, near array<long>")
+
+
+def word_classes(local: DataFrame, table: np.ndarray, classes: int) -> DataFrame:
+    """(block, word, n, kind, first) from the rows of ``block_words``: counts, and the class that all
+    blocks' neighbours speak for, are of the whole corpus; ``first`` marks one block of a training word.
+
+    Logarithms are rounded to whole multiples of 2**-16, so that sums are exact in any order.
+    """
+    smooth = table + 0.5
+    before = np.rint(np.log(smooth / smooth.sum(1, keepdims=True)) * 65536)  # class given the one before
+    behind = np.rint(np.log(smooth.T / smooth.sum(0)[:, None]) * 65536)  # class given the one behind
+    law = np.zeros((128, classes))
+    law[:classes], law[64 : 64 + classes] = before, behind
+    # one row per word and block: a word's rows are at most as many as there are blocks
+    dealt = local.repartition("word").sortWithinPartitions("word", "block")
+
+    def settled(rows: pa.Table) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        word, n, block, known = (rows.column(c).to_numpy() for c in ("word", "n", "block", "known"))
+        starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        at = np.cumsum(np.r_[True, word[1:] != word[:-1]]) - 1
+        k = len(starts)
+        total = np.add.reduceat(n, starts)
+        near = rows.column("near").combine_chunks()
+        code = near.flatten().to_numpy()
+        owner = np.repeat(at, near.value_lengths().to_numpy())
+        counts = np.bincount(owner * 128 + code % 128, code // 128, k * 128).reshape(k, 128)
+        evidence = counts @ law
+        spoken = evidence.max(1) > evidence.min(1)
+        kind = np.where(spoken, classes + evidence.argmax(1), 2 * classes)
+        kind = np.where(total == 1, 2 * classes + 1, kind)
+        kind = np.where(known[starts] >= 0, known[starts], kind)
+        holds = np.flatnonzero(n > 0)
+        first = np.zeros(len(n), bool)
+        first[holds[np.unique(at[holds], return_index=True)[1]]] = True
+        return batch_of(block=block, word=word, n=total[at], kind=kind[at].astype(np.int16), first=first)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = batch.column("word").to_numpy()
+            # the last word may go on in the next batch
+            last = int(np.searchsorted(word, word[-1]))
+            if last and size + last >= 20_000:
+                yield settled(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held, size = [], 0
+                batch = batch.slice(last)
+            held.append(batch)
+            size += batch.num_rows
+        if held:
+            yield settled(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, "block long, word long, n long, kind short, first boolean")
 
 
 def _blocked(docs: DataFrame, n_blocks: int, learn: Column) -> DataFrame:
@@ -210,14 +264,14 @@ def _blocked(docs: DataFrame, n_blocks: int, learn: Column) -> DataFrame:
 
 
 def profiles(docs: DataFrame, words: DataFrame, classes: int) -> DataFrame:
-    """Per document what its score is made of; ``words`` has block, word, n, vote and first.
+    """Per document what its score is made of; ``words`` has block, word, n, kind and first.
 
     Rows with null ``codes`` tell how many distinct training words a block is the first to hold.
     """
     kind = dict(docs.dtypes)["doc_id"]
     blank = {"learn": "boolean", "doc_id": kind, "packed": "binary"}
-    heads = words.where("n > 0").select("block", F.lit(0).alias("sort"), *[F.lit(None).cast(t).alias(c) for c, t in blank.items()], "word", "n", "vote", "first")
-    texts = docs.select("block", F.lit(1).alias("sort"), *blank, *[F.lit(None).cast("long").alias(c) for c in ("word", "n", "vote")], F.lit(None).cast("boolean").alias("first"))
+    heads = words.where("n > 0").select("block", F.lit(0).alias("sort"), *[F.lit(None).cast(t).alias(c) for c, t in blank.items()], "word", "n", "kind", "first")
+    texts = docs.select("block", F.lit(1).alias("sort"), *blank, *[F.lit(None).cast("long").alias(c) for c in ("word", "n")], F.lit(None).cast("short").alias("kind"), F.lit(None).cast("boolean").alias("first"))
     dealt = heads.unionByName(texts).repartition("block").sortWithinPartitions("block", "sort")
     once, end, none = 2 * classes + 1, 2 * classes + 2, 2 * classes
     total = 2 * classes + 3
@@ -242,7 +296,7 @@ def profiles(docs: DataFrame, words: DataFrame, classes: int) -> DataFrame:
                 n_heads = int(is_head.sum())
                 if n_heads:
                     head = rows.slice(0, n_heads)
-                    parts.append([head.column(c).to_numpy() for c in ("word", "n", "vote")])
+                    parts.append([head.column(c).to_numpy() for c in ("word", "n", "kind")])
                     yield empty(int(head.column("first").to_numpy(zero_copy_only=False).astype(bool).sum()), batch.column("doc_id").type)
                 if n_heads < rows.num_rows:
                     if table is None:
@@ -276,12 +330,10 @@ def profiles(docs: DataFrame, words: DataFrame, classes: int) -> DataFrame:
     def _table(parts, classes: int):
         if not parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        word, n, vote = (np.concatenate(x) for x in zip(*parts))
+        word, n, kinds = (np.concatenate(x) for x in zip(*parts))
         word = word.view(np.uint64)
         order = np.argsort(word)
-        word, n, vote = word[order], n[order], vote[order]
-        kind = np.where(vote >= _FIXED, vote - _FIXED, np.where(vote >= 0, classes + vote % 64, none))
-        return word, n, np.where((n == 1) & (vote < _FIXED), once, kind)
+        return word[order], n[order], kinds[order].astype(np.int64)
 
     return dealt.mapInArrow(
         run, f"doc_id {kind}, learn boolean, n_tokens long, n_known long, n_once long, base double, emission double, codes array<short>, times array<int>"
@@ -302,11 +354,7 @@ def score(
     blocks = _blocked(docs, max(1, -(-chars // block_chars)), learn)
     dealt = blocks.repartition("block").sortWithinPartitions("block")
     local = block_words(dealt, frequent, classes)
-    # one row per word and block: a word's rows are at most as many as there are blocks
-    words = local.selectExpr(
-        "block", "word", "sum(n) over (partition by word) as n", "max(vote) over (partition by word) as vote",
-        "block = min(case when n > 0 then block end) over (partition by word) as first",
-    )
+    words = word_classes(local, frequent[2], classes)
     made = staged(profiles(blocks, words, classes))
     rows = made.where("codes is not null")
     distinct = made.where("codes is null").agg(F.sum("n_tokens")).first()[0] or 0
