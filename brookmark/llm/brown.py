@@ -1,7 +1,7 @@
 """Brown class-based bigram model: exchange clustering, class transitions and word emissions.
 
-1. A scan finds the frequent words (``share`` of all tokens or more, so at most 1 / share of them) and
-   counts their bigrams. Exchange clustering assigns them to ``classes`` classes: each word in turn goes where the
+1. A scan counts all words, which gives the frequent ones (``share`` of all tokens or more, so at most 1 / share of
+   them), and a second one counts all their bigrams. Exchange clustering assigns them to ``classes`` classes: each word in turn goes where the
    likelihood of the class bigrams gains most, until a sweep moves none.
 2. Documents are dealt to blocks by hash. Per block one row for each distinct word gives its training count and how
    often each frequent class stands before and behind it. Sums over blocks give exact counts of all words and the class
@@ -16,8 +16,8 @@ Words met once in training stand for unknown ones: the class gives half its mass
 Thus the model is a distribution over the training words and one unknown word, as the base is.
 
 Words are named by 64-bit hashes. Null and empty texts have the end token only. Repeated rows are scored each, and
-learned from each. Rows with a null ``doc_id`` are scored, not learned from. Which words count as frequent may
-depend on how the input is split; counts never do. Without training rows all words are unknown.
+learned from each. Rows with a null ``doc_id`` are scored, not learned from. No count depends on how the input is
+split. Without training rows all words are unknown.
 """
 
 from __future__ import annotations
@@ -41,40 +41,46 @@ def tokens_of(text: bytes | None) -> np.ndarray:
     return np.append(h, END)
 
 
-def frequent_bigrams(docs: DataFrame, share: float, chunk: int = 2_000_000) -> DataFrame:
-    """(a, b, n) from training documents: ``b`` null for a frequent word's count, both null for the number of tokens.
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[np.ndarray]:
+    """Tokens of whole documents, about ``chunk`` at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for text in raw(batch.column("text")):
+            held.append(tokens_of(text))
+            size += len(held[-1])
+            if size >= chunk:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
 
-    A word is taken as frequent in a chunk where it makes up half the ``share``; a word with that
-    share of all tokens is so somewhere, and bigrams are counted among those of a chunk.
-    """
+
+def word_counts(docs: DataFrame, chunk: int = 2_000_000) -> DataFrame:
+    """(word, n): exact counts of all words of training documents, the end included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        for tokens in _chunks(batches, chunk):
+            words, times = np.unique(tokens, return_counts=True)
+            yield batch_of(word=signed(words), n=times.astype(np.int64))
 
-        def counted() -> pa.RecordBatch:
-            words, inverse, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
-            often = np.flatnonzero(times >= share / 2 * len(inverse))
-            place = np.full(len(words), -1)
-            place[often] = np.arange(len(often))
-            at = place[inverse]
-            code, n = np.unique((at[:-1] * len(often) + at[1:])[(at[:-1] >= 0) & (at[1:] >= 0)], return_counts=True)
-            names, k = signed(words[often]), max(1, len(often))
-            a = np.concatenate([names, names[code // k]])
-            return batch_of(
-                a=pa.concat_arrays([pa.array(a), pa.nulls(1, pa.int64())]),
-                b=pa.concat_arrays([pa.nulls(len(names), pa.int64()), pa.array(names[code % k]), pa.nulls(1, pa.int64())]),
-                n=np.concatenate([times[often], n, [len(inverse)]]).astype(np.int64),
-            )
+    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-        for batch in batches:
-            for text in raw(batch.column("text")):
-                held.append(tokens_of(text))
-                size += len(held[-1])
-                if size >= chunk:
-                    yield counted()
-                    held, size = [], 0
-        if held:
-            yield counted()
+
+def frequent_bigrams(docs: DataFrame, words: np.ndarray, chunk: int = 2_000_000) -> DataFrame:
+    """(a, b, n): exact counts of all bigrams of ``words`` (sorted hashes), by their places there.
+
+    A document starts after an end. Counts are summed over chunks, then over tasks.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = shared.value
+        for tokens in _chunks(batches, chunk):
+            tokens = np.r_[END, tokens]
+            at = np.minimum(np.searchsorted(names, tokens), len(names) - 1)
+            at = np.where(names[at] == tokens, at, -1)
+            code, n = np.unique((at[:-1] * len(names) + at[1:])[(at[:-1] >= 0) & (at[1:] >= 0)], return_counts=True)
+            yield batch_of(a=code // len(names), b=code % len(names), n=n.astype(np.int64))
 
     return docs.select("text").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
@@ -124,25 +130,18 @@ def exchange(size: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, classes: in
 
 def cluster(docs: DataFrame, share: float, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted hashes of the frequent words (the end included), their classes, and the class bigrams."""
-    counted = staged(frequent_bigrams(docs, share))
-    total = counted.where("a is null").agg(F.sum("n")).first()[0] or 0
-    chosen = counted.where("a is not null and b is null").where(F.col("n") >= share * total).select("a", "n")
-    rows = sorted(((r["n"], r["a"]) for r in chosen.collect()), reverse=True)  # at most 1 / share rows
-    words = np.array([a for _, a in rows], np.int64)
+    counted = staged(word_counts(docs))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    rows = sorted(((r["n"], r["word"]) for r in counted.where(F.col("n") >= share * total).collect()), reverse=True)  # at most 1 / share rows
+    words = np.array([w for _, w in rows], np.int64).view(np.uint64)
     if not len(words):
         return np.zeros(0, np.uint64), np.zeros(0, int), np.zeros((classes, classes))
-    known = chosen.select("a")
-    pairs = (
-        counted.where("b is not null").join(known, "a", "left_semi")
-        .join(known.select(F.col("a").alias("b")), "b", "left_semi").select("a", "b", "n").toArrow()
-    )
     order = np.argsort(words)
-    a, b = (order[np.searchsorted(words[order], pairs.column(c).to_numpy())] for c in "ab")
+    pairs = frequent_bigrams(docs, words[order]).toArrow()
+    a, b = (order[pairs.column(c).to_numpy()] for c in "ab")
     fixed = np.lexsort((b, a))
     cls, table = exchange(len(words), a[fixed], b[fixed], pairs.column("n").to_numpy()[fixed], classes)
-    unsigned = words.view(np.uint64)
-    order = np.argsort(unsigned)
-    return unsigned[order], cls[order], table
+    return words[order], cls[order], table
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:

@@ -98,3 +98,46 @@ def test_classes_of_all_words(spark, rows, n_blocks):
     found.pop(0)  # the end has a class of its own
     assert found == {w: (counts[w], k) for w, k in kind.items() if w}
     assert Counter(r["word"] for r in made if r["first"]) == Counter(np.uint64(w).astype(np.int64).item() for w in counts)
+
+
+def brute_scores(rows):
+    tokens, counts, kind, _ = brute_model(rows)
+    once, end = 2 * CLASSES + 1, 2 * CLASSES + 2
+    coded = {i: [end, *[kind.get(w, once) for w in t[:-1]], end] for i, t in tokens.items()}
+    moves = np.zeros((end + 1, end + 1))
+    for i, c in coded.items():
+        if learned(i):
+            np.add.at(moves, (c[:-1], c[1:]), 1)
+    law, unknown = brown.transition_law(moves, CLASSES)
+    scores = {}
+    for i, t in tokens.items():
+        c = coded[i]
+        s = sum(law[x, y] for x, y in zip(c, c[1:]))
+        for w in t[:-1]:
+            n = counts[w]
+            s += np.log10(n) if n > 1 else unknown if n == 1 else np.log10(0.5)
+            # a word never met gets the other half of the mass that its class gives to one met once
+        scores[i] = s
+    return scores
+
+
+@pytest.mark.parametrize("block_chars", [10**9, 900])
+def test_scores(spark, rows, block_chars):
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = {r["doc_id"]: r["score"] for r in brown.score(docs, learn(), CLASSES, SHARE, block_chars).collect()}
+    wanted = brute_scores(rows)
+    assert found.keys() == wanted.keys()
+    assert all(np.isclose(found[i], wanted[i], rtol=1e-9) for i in wanted)
+
+
+def test_unevenly_spread_words_are_counted_whole(spark):
+    """A word over the share in all, but under half of it in seven of ten tasks, and its bigrams."""
+    texts = ["hot x " * (4 if i < 7 else 32) + f"a{i} b " * (196 if i < 7 else 168) for i in range(10)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), 10), SCHEMA)
+    names, _, table = brown.cluster(docs, 0.03, 2)
+    tokens = [brown.tokens_of(t.encode()) for t in texts]
+    counts = Counter(w for t in tokens for w in t.tolist())
+    often = {w for w, n in counts.items() if n >= 0.03 * sum(counts.values())}
+    assert set(names.tolist()) == often
+    assert brown.tokens_of(b"hot")[0].item() in often
+    assert table.sum() == sum(x in often and y in often for t in tokens for x, y in zip([0, *t.tolist()], t.tolist()))
