@@ -5,8 +5,9 @@ so inserting documents appends rows and deleting documents takes theirs away aga
 decision can be recomputed as if a deleted document had never been there. Keys held by enough
 documents are *heavy*. One cuckoo filter per shard of heavy keys stands before the exact table: a
 line is looked up there only if its shard's filter knows it, which spares the join for nearly all
-lines. Filters hold fingerprints that can be deleted again, so an insertion or a deletion only
-touches the keys whose count crosses the threshold.
+lines. An insertion or a deletion is a full rebuild: all entries are written again, all keys counted
+and all filters built anew, even for one document. Nothing is updated in place, though a filter's
+fingerprints could be deleted.
 
 A key is named by a 128-bit hash of the stripped, lower-cased line. Null and empty texts are one
 empty line. Repeated rows of one ``doc_id`` count once per key and lose the same lines. Rows without
