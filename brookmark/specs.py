@@ -261,14 +261,6 @@ SILVER_UPDATE_COLUMNS: dict[str, tuple[str, ...]] = {
     ),
 }
 
-# Attribute a silver table is partitioned by when it is first created.
-SILVER_PARTITIONS: dict[str, str | None] = {
-    "orders": "status",
-    "customers": "state",
-    "products": "category",
-    "order_items": None,
-}
-
 # Column a silver table is clustered on by maintenance.
 CLUSTER_COLUMNS: dict[str, str] = {
     "orders": "order_date",
