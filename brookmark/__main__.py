@@ -17,8 +17,13 @@ from brookmark.plans.layers import publish
 from brookmark.plans.upkeep import run_maintenance
 from brookmark.session import build_session
 from brookmark.sources.changelog import read_cdc
-from brookmark.specs import CATALOG
-from brookmark.streaming.mirror import run_mirror
+from brookmark.sources.tables import SnapshotTable
+from brookmark.specs import CATALOG, TableSpec
+from brookmark.streaming.mirror import Mirror, run_mirror
+
+
+def mirror_path(root: str, spec: TableSpec) -> str:
+    return f"{root}/mirror/{spec.name}"
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -30,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     maintain = jobs.add_parser("maintain", help="retention, and compaction with --rewrite")
     maintain.add_argument("--rewrite", action="store_true")
     maintain.add_argument("--days", type=int, default=7)
+    maintain.add_argument("--snapshots", nargs="*", default=[], help="folders of snapshot tables, which no job here writes")
     query = jobs.add_parser("query", help="one bounded read-only query")
     query.add_argument("text")
     mirror = jobs.add_parser("mirror", help="keep a mirror of a change-log topic")
@@ -51,7 +57,11 @@ def main(argv: list[str] | None = None) -> None:
             print({args.table: transform_day(spark, root, CATALOG[args.table], args.day)})
     elif args.job == "maintain":
         now = datetime.now(timezone.utc)
-        print(run_maintenance(spark, root, now, args.rewrite, args.days))
+        print(run_maintenance(
+            spark, root, now, args.rewrite, args.days,
+            snapshots=[SnapshotTable(spark, path) for path in args.snapshots],
+            mirrors=[Mirror(spark, mirror_path(root, spec), spec) for spec in CATALOG.values()],
+        ))
     elif args.job == "query":
         publish(spark, root)
         answer = bounded_query(spark, args.text)
@@ -62,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         spec = CATALOG[args.table]
         stream = read_cdc(spark, {"kafka.bootstrap.servers": args.servers}, spec.topic())
         run_mirror(
-            stream, spec, f"{root}/mirror/{spec.name}", f"{root}/checkpoints/{spec.name}"
+            stream, spec, mirror_path(root, spec), f"{root}/checkpoints/{spec.name}"
         ).awaitTermination()
 
 

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from brookmark.__main__ import _parser
+from brookmark.__main__ import _parser, main
 from brookmark.plans.lakehouse import silver_table, transform_day
 from brookmark.plans.upkeep import expired_snapshots, orphaned_snapshot_files, run_maintenance, stale_bronze
 from brookmark.sources.bronze import read_bronze_history, write_bronze
@@ -81,3 +81,17 @@ def test_command_line():
     args = _parser().parse_args(["transform", "orders", "20240301", "--root", "/data"])
     assert (args.job, args.table, args.day, args.root) == ("transform", "orders", "20240301", "/data")
     assert _parser().parse_args(["maintain", "--root", "/d", "--rewrite"]).rewrite
+
+
+def test_the_maintain_job_reaches_mirrors_and_snapshots(spark, tmp_path, capsys):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    for days in range(40, 32, -1):
+        table.commit(spark.range(days), at=datetime.now() - timedelta(days=days))
+    mirror = Mirror(spark, f"{tmp_path}/mirror/orders", SPEC)
+    mirror.append(batch(spark, 1, 2).withColumns({"ver": F.lit(1).cast("long"), "is_deleted": F.lit(False)}), 0)
+    mirror.compact()
+    mirror.append(batch(spark, 3).withColumns({"ver": F.lit(2).cast("long"), "is_deleted": F.lit(False)}), 1)
+    main(["maintain", "--root", str(tmp_path), "--snapshots", table.path])
+    said = capsys.readouterr().out
+    assert "'versions_expired': 3" in said and "'log_folders_retired': 1" in said
+    assert table.read().count() == 33 and mirror.current().count() == 3
