@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from brookmark.llm import automata, bpe, brown, crf, decontaminate, lineindex, linkgraph, prefixtree, rules, toolcalls
+from brookmark.llm import (
+    automata, bpe, brown, crf, decontaminate, lineindex, linkgraph, phrases, prefixtree, rules, sketch, toolcalls, whitening,
+)
 from brookmark.llm.text import fold_of, read
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -87,6 +89,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketch.compare_edits(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    own, changed, after = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return found.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), sha_of(F.col("edited")).alias("edited_sha256"),
+        sketch.fingerprint(own).alias("fingerprint"), sketch.fingerprint(changed).alias("edited_fingerprint"),
+        sketch.resemblance(own, changed).alias("near_edited"), sketch.resemblance(own, after).alias("near_next"),
+    )
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -98,6 +119,9 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_document_fingerprints": op11_document_fingerprints,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -193,4 +217,8 @@ select d.conv_id, concat(d.conv_id, '-', d.turn) as call_id, d.depth, a.content
 from deep d left join answers a on d.conv_id = a.conv_id and a.turn = d.turn + 1
 """
 
-ORACLE = {"op3_url_filters": linkgraph.oracle_sql(), "op4_tool_calls": _OP4, "op5_substring_dedup": _OP5, "op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9, "op10_decontamination": _OP10}
+ORACLE = {
+    "op3_url_filters": linkgraph.oracle_sql(), "op4_tool_calls": _OP4, "op5_substring_dedup": _OP5, "op6_line_dedup": _OP6,
+    "op9_ngram_jaccard_join": _OP9, "op10_decontamination": _OP10, "op11_document_fingerprints": sketch.oracle_sql(),
+    "op12_phrase_collocations": phrases.oracle_sql(),
+}
