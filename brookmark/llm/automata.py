@@ -4,16 +4,17 @@ Every document is a reference for every other one, so an automaton of all of the
 Shards are cut so that equal windows always meet in one of them, and each shard's automaton is built
 in the task that its passages are sent to:
 
-1. A scan cuts each document into passages. A window's anchor is its smallest 8-gram by hash (the
-   leftmost of equals), so equal windows have equal anchors; a passage is the words under consecutive
-   windows with one anchor. Only hashes leave the scan, one row per passage (about 14 windows).
-2. Sorted by anchor and passage, rows are compared with their neighbours only: equal passages are
-   repeats as a whole. Where one anchor stands in different passages, one of each kind is fetched.
+1. A scan cuts each document into passages. A window's anchor is its smallest 8-gram by hash, so equal
+   windows have equal anchors; a passage is the words under consecutive windows with one anchor. Only
+   hashes leave the scan, one row per passage (about 14 windows; periodic text gives one long passage).
+2. Passages are counted per anchor and hash, summed in each task before the shuffle, so a passage that many
+   documents share is one row there. Equal passages are repeats as a whole. Where one anchor stands in
+   different passages, or several times in one, one passage of each kind is fetched.
 3. Shards of fetched passages get a generalised suffix automaton with occurrence counts. Each passage
    is streamed through it: where the matching statistic reaches the window and the matched state
    occurs twice or more, the window is repeated. Maximal runs of such windows are the spans.
-4. An anchor with more than ``shard`` different passages is dealt by whole windows
-   instead (one row each, counted before the shuffle), so no anchor is ever gathered.
+4. An anchor whose different passages have more than ``shard`` words together is never gathered: the tasks that
+   hold its texts count its windows by their hashes, distinct ones once a batch, which is exact too.
 
 Documents are identified by a 64-bit hash of id and text: repeated rows are occurrences of their own, so all
 their windows are repeats. Null texts are empty; texts shorter than a window lose nothing.
@@ -43,11 +44,12 @@ def doc_keys(ids: pa.Array, texts: list[bytes | None]) -> np.ndarray:
     return np.array([digest(t or b"", digest(str(i).encode())) for i, t in zip(ids.to_pylist(), texts)], np.uint64).view(np.int64)
 
 
-def cut(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first window and number of windows of each passage of a text's word hashes."""
+def cut(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first window, number of windows, and whether the anchor stands there more than once, of
+    each passage of a text's word hashes."""
     windows = len(h) - window + 1
     if windows <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int)
+        return np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool)
     grams = rolling(h, min(ANCHOR, window))
     span = len(grams) - windows + 1  # grams in a window
     low, at, reach = grams, np.arange(len(grams)), 1
@@ -57,85 +59,58 @@ def cut(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         take = b < a
         low, at = np.where(take, b, a), np.where(take, at[step:], at[:-step])
         reach += step
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return low[starts], starts, np.diff(np.r_[starts, windows])
+    starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+    ends = np.r_[starts[1:], windows]
+    # windows repeat within a passage only if its leftmost anchor moves
+    return low[starts], starts, ends - starts, at[ends - 1] != at[starts]
 
 
 def passages(docs: DataFrame, window: int) -> DataFrame:
-    """(anchor, passage, doc, start, windows): one row per passage."""
+    """(anchor, passage, doc, start, windows, again): one row per passage."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = raw(batch.column("text"))
         keys = doc_keys(batch.column("doc_id"), texts)
-        out = [[], [], [], [], []]
+        out = [[], [], [], [], [], []]
         digest = xxhash.xxh3_64_intdigest
         for key, text in zip(keys, texts):
             h = word_hashes((text or b"").split())
-            anchors, starts, windows = cut(h, window)
+            anchors, starts, windows, again = cut(h, window)
             if not len(anchors):
                 continue
             data, ends = h.tobytes(), 8 * (starts + windows + window - 1)
             own = [digest(data[a:b]) for a, b in zip((8 * starts).tolist(), ends.tolist())]
-            for column, value in zip(out, (anchors, np.array(own, np.uint64), np.full(len(starts), key), starts, windows)):
+            for column, value in zip(out, (anchors, np.array(own, np.uint64), np.full(len(starts), key), starts, windows, again)):
                 column.append(value)
         made = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
         return batch_of(
             anchor=made[0].view(np.int64), passage=made[1].view(np.int64), doc=made[2],
-            start=made[3].astype(np.int32), windows=made[4].astype(np.int32),
+            start=made[3].astype(np.int32), windows=made[4].astype(np.int32), again=made[5].astype(bool),
         )
 
-    return map_batches(docs.select("doc_id", "text"), run, "anchor long, passage long, doc long, start int, windows int")
+    return map_batches(docs.select("doc_id", "text"), run, "anchor long, passage long, doc long, start int, windows int, again boolean")
 
 
-def compare(rows: DataFrame) -> DataFrame:
-    """Passages whose anchor is not alone: ``same`` where an equal one exists, ``ask`` for one of each
-    kind where the anchor has several kinds.
+def kinds_of(rows: DataFrame) -> DataFrame:
+    """(anchor, passage, times, doc, start, windows, again): the different passages, with one place of each."""
+    # equal passages are equally long; both firsts come from the same row
+    return rows.groupBy("anchor", "passage").agg(
+        F.count(F.lit(1)).alias("times"), F.first("doc").alias("doc"), F.first("start").alias("start"),
+        F.max("windows").alias("windows"), F.max("again").alias("again"),
+    )
 
-    Rows come sorted, so neighbours tell; a task holds a batch and one row at a time.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("anchor", "passage", "doc", "start", "windows")
-        held, before, many = None, None, False
-        for batch in _and_end(batches):
-            new = None if batch is None else [batch.column(c).to_numpy() for c in names]
-            columns = new if held is None else held if new is None else [np.concatenate(x) for x in zip(held, new)]
-            if columns is None:
-                continue
-            anchor, passage = columns[0], columns[1]
-            n = len(anchor) if new is None else len(anchor) - 1  # the last row waits for its neighbour
-            like = anchor[1:] == anchor[:-1]
-            equal = like & (passage[1:] == passage[:-1])
-            first = before is not None and len(anchor) and before[0] == anchor[0]
-            next_like, next_equal = np.r_[like, False][:n], np.r_[equal, False][:n]
-            prev_like = np.r_[first, like][:n]
-            prev_equal = np.r_[bool(first and before[1] == passage[0]), equal][:n]
-            # whether a row's anchor had another kind before it: carried along the anchor's run
-            change = prev_like & ~prev_equal
-            run_id = np.cumsum(~prev_like)
-            seen = np.zeros(n, bool)
-            if n:
-                total = np.cumsum(change)
-                base = np.zeros(int(run_id[-1]) + 1, np.int64)
-                begins = np.flatnonzero(~prev_like)
-                base[run_id[begins]] = total[begins] - change[begins]
-                seen = total - base[run_id] > 0
-                seen |= (run_id == 0) & many
-            ask = ~next_equal & (seen | next_like)
-            same = prev_equal | next_equal
-            keep = np.flatnonzero(same | ask)
-            if n:
-                before, many = (anchor[n - 1], passage[n - 1]), bool(seen[-1])
-            held = None if new is None else [c[n:] for c in columns]
-            yield batch_of(**{c: v[keep] for c, v in zip(names, columns) if c != "passage"}, same=same[keep], ask=ask[keep])
-
-    dealt = rows.repartition("anchor").sortWithinPartitions("anchor", "passage")
-    return dealt.mapInArrow(run, "anchor long, doc long, start int, windows int, same boolean, ask boolean")
-
-
-def _and_end(batches):
-    yield from (b for b in batches if b.num_rows)
-    yield None
+def asked_of(kinds: DataFrame, window: int, shard: int) -> DataFrame:
+    """(doc, anchor, start, windows, same, wide): passages whose windows must be compared one by one."""
+    words = F.sum(F.col("windows").cast("long") + (window - 1))
+    anchors = (
+        kinds.groupBy(F.col("anchor").alias("of")).agg(F.count(F.lit(1)).alias("kinds"), words.alias("words"), F.max("again").alias("some"))
+        .where((F.col("kinds") > 1) | F.col("some"))
+    )
+    met = kinds.join(anchors, F.col("anchor") == F.col("of"))
+    return met.where((F.col("kinds") > 1) | (F.col("again") & (F.col("times") == 1))).select(
+        "doc", "anchor", "start", "windows", (F.col("times") > 1).alias("same"), (F.col("words") > shard).alias("wide")
+    )
 
 
 class SuffixAutomaton:
@@ -214,78 +189,60 @@ class SuffixAutomaton:
         return found
 
 
-def judge(fetched: DataFrame, window: int, shard: int = 1000) -> DataFrame:
-    """Repeated windows of passages of different kinds.
+def judge(fetched: DataFrame, window: int, shard: int) -> DataFrame:
+    """(doc, start, windows): repeated windows of passages of different kinds, by automata of at most about
+    twice ``shard`` words.
 
-    ``fetched`` has anchor, doc, start, same and words (bytes). Rows with null ``piece`` are spans: doc, start,
-    windows. The others are single windows of anchors with more than ``shard`` passages, still to be
-    counted: anchor, piece (hash), doc, start, and the weight in windows.
+    ``fetched`` has anchor, doc, start, same and words (bytes); no anchor has more than ``shard`` words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[tuple]] = []  # groups of one anchor each
-        size, at, wide = 0, None, False
+        held: list[tuple] = []
+        size, at = 0, None
 
-        def shard_spans() -> pa.RecordBatch:
+        def spans_of() -> pa.RecordBatch:
             automaton = SuffixAutomaton()
-            for group in held:
-                for _, _, _, same, words in group:
-                    automaton.add(words, 2 if same else 1)
+            for _, _, same, words in held:
+                automaton.add(words, 2 if same else 1)
             automaton.close()
             out = ([], [], [])
-            for group in held:
-                for _, doc, start, same, words in group:
-                    if same:
-                        continue  # known as a whole
-                    for first, n in runs(automaton.repeats(words, window)):
-                        for column, value in zip(out, (doc, start + first, n)):
-                            column.append(value)
-            return _verdicts(*out)
-
-        def windows_of(rows: list[tuple]) -> pa.RecordBatch:
-            pieces = [rolling(word_hashes(words), window) for *_, words in rows]
-            n = [len(p) for p in pieces]
-            first = [np.arange(k) + row[2] for k, row in zip(n, rows)]
-            return batch_of(
-                anchor=np.repeat(np.array([r[0] for r in rows], np.int64), n), piece=signed(np.concatenate(pieces)),
-                doc=np.repeat(np.array([r[1] for r in rows], np.int64), n), start=np.concatenate(first).astype(np.int32),
-                windows=np.repeat(np.array([2 if r[3] else 1 for r in rows], np.int32), n),
-            )
+            for doc, start, same, words in held:
+                if same:
+                    continue  # known as a whole
+                for first, n in runs(automaton.repeats(words, window)):
+                    for column, value in zip(out, (doc, start + first, n)):
+                        column.append(value)
+            return batch_of(doc=pa.array(out[0], pa.int64()), start=pa.array(out[1], pa.int32()), windows=pa.array(out[2], pa.int32()))
 
         for batch in batches:
-            fresh: list[tuple] = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc", "start", "same", "words"))):
-                row = (*row[:4], row[4].split(b" "))
-                if row[0] != at:
-                    at, wide = row[0], False
+            for anchor, *row, words in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc", "start", "same", "words"))):
+                if anchor != at:
+                    at = anchor
                     if size >= shard:
-                        yield shard_spans()
+                        yield spans_of()
                         held, size = [], 0
-                    held.append([])
-                if wide:
-                    fresh.append(row)
-                    continue
-                held[-1].append(row)
-                size += 1
-                if len(held[-1]) > shard:
-                    wide = True
-                    size -= len(held[-1])
-                    fresh.extend(held.pop())
-                    held.append([])
-            if fresh:
-                yield windows_of(fresh)
-        if size:
-            yield shard_spans()
-
-    dealt = fetched.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, "anchor long, piece long, doc long, start int, windows int")
-
-
-def _verdicts(docs, starts, windows) -> pa.RecordBatch:
-    blank = pa.nulls(len(docs), pa.int64())
-    return batch_of(
-        anchor=blank, piece=blank, doc=pa.array(docs, pa.int64()), start=pa.array(starts, pa.int32()), windows=pa.array(windows, pa.int32()),
-    )
+                held.append((*row, words.split(b" ")))
+                size += len(held[-1][-1])
+        if held:
+            yield spans_of()
+
+    dealt = fetched.select("anchor", "doc", "start", "same", "words").repartition("anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(run, "doc long, start int, windows int")
+
+
+def count_windows(wide: DataFrame) -> DataFrame:
+    """(doc, start, windows): repeated windows of passages given by their windows' hashes (``pieces``)."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column("pieces")
+        weight = np.repeat(np.where(batch.column("same").to_numpy(zero_copy_only=False), 2, 1), lists.value_lengths().to_numpy())
+        pieces, which = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        return batch_of(piece=pieces, times=np.bincount(which, weight, len(pieces)).astype(np.int64))
+
+    counted = map_batches(wide.select("same", "pieces"), run, "piece long, times long")
+    often = counted.groupBy("piece").agg(F.sum("times").alias("times")).where("times >= 2").select("piece")
+    each = wide.where(~F.col("same")).select("doc", "start", F.posexplode("pieces").alias("at", "piece"))
+    return each.join(often, "piece", "left_semi").select("doc", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("windows"))
 
 
 def runs(positions: list[int]) -> list[tuple[int, int]]:
@@ -310,37 +267,40 @@ def keyed(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, f"doc long, doc_id {kind}, packed binary")
 
 
-def spans(docs: DataFrame, window: int = 35, shard: int = 1000) -> DataFrame:
+def spans(docs: DataFrame, window: int = 35, shard: int = 40_000) -> DataFrame:
     """(doc, spans): per document the passages of repeated windows, as (start, windows)."""
-    met = staged(compare(passages(docs, window)))
-    asked = met.where("ask").groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("anchor", "start", "windows", "same")).alias("asks"))
+    rows = staged(passages(docs, window))
+    kinds = staged(kinds_of(rows))
+    asked = asked_of(kinds, window, shard).withColumnRenamed("doc", "of").groupBy("of").agg(
+        F.collect_list(F.struct("anchor", "start", "windows", "same", "wide")).alias("asks")
+    )
 
     def fetch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = ([], [], [], [], [])
+        out = ([], [], [], [], [], [])
         for doc, text, asks in zip(batch.column("doc").to_pylist(), unpack(batch.column("packed")), batch.column("asks").to_pylist()):
             words = (text or b"").split()
             for ask in asks:
                 first = ask["start"]
-                part = b" ".join(words[first : first + ask["windows"] + window - 1])
-                for column, value in zip(out, (ask["anchor"], doc, first, ask["same"], part)):
+                own = words[first : first + ask["windows"] + window - 1]
+                part, pieces = (None, signed(rolling(word_hashes(own), window))) if ask["wide"] else (b" ".join(own), None)
+                for column, value in zip(out, (ask["anchor"], doc, first, ask["same"], part, pieces)):
                     column.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
-        return batch_of(**{c: pa.array(v, k) for c, v, k in zip(("anchor", "doc", "start", "same", "words"), out, kinds)})
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.list_(pa.int64()))
+        names = ("anchor", "doc", "start", "same", "words", "pieces")
+        return batch_of(**{c: pa.array(v, k) for c, v, k in zip(names, out, kinds)})
 
     texts = keyed(docs).join(asked, F.col("doc") == F.col("of")).select("doc", "packed", "asks")
-    fetched = map_batches(texts, fetch, "anchor long, doc long, start int, same boolean, words binary")
-    judged = staged(judge(fetched, window, shard))
-    single = judged.where("piece is not null")
-    often = single.groupBy("anchor", "piece").agg(F.sum("windows").alias("times")).where("times >= 2").select("anchor", "piece")
-    hits = single.join(often, ["anchor", "piece"]).select("doc", "start", F.lit(1).alias("windows"))
+    fetched = staged(map_batches(texts, fetch, "anchor long, doc long, start int, same boolean, words binary, pieces array<long>"))
+    whole = rows.join(kinds.where("times > 1").select("anchor", "passage"), ["anchor", "passage"], "left_semi")
     found = (
-        met.where("same").select("doc", "start", "windows")
-        .unionByName(judged.where("piece is null").select("doc", "start", "windows")).unionByName(hits)
+        whole.select("doc", "start", "windows")
+        .unionByName(judge(fetched.where("words is not null"), window, shard))
+        .unionByName(count_windows(fetched.where("pieces is not null")))
     )
     return found.groupBy("doc").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, shard: int = 1000) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, shard: int = 40_000) -> DataFrame:
     """Every row's ``doc_id``, ``n_words``, ``removed`` (spans of words as [start, end)) and ``text``, the
     words that stay joined by one space."""
     found = spans(docs, window, shard).withColumnRenamed("doc", "of")

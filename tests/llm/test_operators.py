@@ -118,7 +118,7 @@ def test_tool_calls(spark):
     assert toolcalls.orphans(calls, results).count() == 1
 
 
-@pytest.mark.parametrize("shard", [1000, 2])
+@pytest.mark.parametrize("shard", [40_000, 1000, 2])
 def test_substrings(docs, rows, none, shard):
     found = {r["doc_id"]: r for r in automata.remove_repeats(docs, 35, shard).collect()}
     for i, kept in brute.without_repeats(rows, 35):
@@ -127,6 +127,23 @@ def test_substrings(docs, rows, none, shard):
     assert automata.remove_repeats(none).count() == 0
 
 
+def test_periodic_text_is_one_passage():
+    h = automata.word_hashes([b"x"] * 5000 + [f"w{i}".encode() for i in range(100)])
+    anchors, starts, windows, again = automata.cut(h, 35)
+    assert windows.sum() == len(h) - 34 and len(starts) < 40
+    assert again.tolist().count(True) == 1 and windows[again.argmax()] > 4900
+
+
+@pytest.mark.parametrize("shard", [40_000, 500])
+def test_long_periodic_texts(spark, shard):
+    """One periodic text alone, one of two words, and an anchor that stands in many different passages."""
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [(0, "x " * 3000), (1, "a b " * 1500 + "c"), (2, " ".join(f"u{i}" for i in range(3000)))]
+    rows += [(10 + k, f"{some(1, 50, 50)} k{k} {shared} e{k} {some(1, 50, 50)}") for k in range(60)]
+    found = {r["doc_id"]: r["text"] for r in automata.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(3), 35, shard).collect()}
+    assert found == {i: " ".join(kept) for i, kept in brute.without_repeats(rows, 35)}
+
+
 def test_automaton_counts():
     rng = random.Random(3)
     for _ in range(60):
