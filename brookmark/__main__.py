@@ -13,17 +13,13 @@ from datetime import datetime, timezone
 
 from brookmark.plans.adhoc import bounded_query
 from brookmark.plans.lakehouse import transform_all, transform_day
-from brookmark.plans.layers import publish
+from brookmark.plans.layers import mirror_path, publish
 from brookmark.plans.upkeep import run_maintenance
 from brookmark.session import build_session
 from brookmark.sources.changelog import read_cdc
 from brookmark.sources.tables import SnapshotTable
-from brookmark.specs import CATALOG, TableSpec
-from brookmark.streaming.mirror import Mirror, run_mirror
-
-
-def mirror_path(root: str, spec: TableSpec) -> str:
-    return f"{root}/mirror/{spec.name}"
+from brookmark.specs import CATALOG
+from brookmark.streaming.mirror import mirror_of, run_mirror
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -60,7 +56,7 @@ def main(argv: list[str] | None = None) -> None:
         print(run_maintenance(
             spark, root, now, args.rewrite, args.days,
             snapshots=[SnapshotTable(spark, path) for path in args.snapshots],
-            mirrors=[Mirror(spark, mirror_path(root, spec), spec) for spec in CATALOG.values()],
+            mirrors=[mirror_of(spark, mirror_path(root, spec), spec) for spec in CATALOG.values()],
         ))
     elif args.job == "query":
         publish(spark, root)

@@ -3,50 +3,78 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brookmark.operators.clean import SILVER_MODELS
 from brookmark.operators.merge import prepare_batch
-from brookmark.sources.bronze import read_bronze_day
+from brookmark.session import stored
+from brookmark.sources.attribute import AttributeTable
+from brookmark.sources.bronze import bronze_schema, read_bronze_day
+from brookmark.sources.files import Folders
 from brookmark.sources.tables import SlotTable
-from brookmark.specs import CATALOG, CLUSTER_COLUMNS, SILVER_UPDATE_COLUMNS, TableSpec
+from brookmark.specs import CATALOG, CLUSTER_COLUMNS, SILVER_PARTITIONS, SILVER_UPDATE_COLUMNS, TableSpec
 
 
-def silver_table(spark: SparkSession, root: str, spec: TableSpec, width: int | None = 1_000_000) -> SlotTable:
-    return SlotTable(
-        spark, f"{root.rstrip('/')}/silver/{spec.name}", spec.primary_key, width,
-        order_by=CLUSTER_COLUMNS.get(spec.name),
-    )
+def silver_table(spark: SparkSession, root: str, spec: TableSpec,
+                 width: int | None = 1_000_000) -> SlotTable | AttributeTable:
+    """Silver table in the folders of its attribute, or of its key where it has none."""
+    path, order = f"{root.rstrip('/')}/silver/{spec.name}", CLUSTER_COLUMNS.get(spec.name)
+    attribute = SILVER_PARTITIONS.get(spec.name)
+    if attribute is None:
+        return SlotTable(spark, path, spec.primary_key, width, order_by=order)
+    schema = T.StructType(spec.schema.fields).add("processed_at", T.TimestampType())
+    return AttributeTable(spark, path, spec.primary_key, attribute, schema, width, order_by=order)
 
 
 def silver_batch(landed: DataFrame, spec: TableSpec) -> DataFrame:
-    """Cleaned rows of one landed day, each key once (the newest version, then the newest run)."""
-    newest = prepare_batch(landed, spec.primary_key, spec.cursor_column, ["run_id"])
+    """Cleaned rows of one landed day, each key once (the newest version, then the newest run); none without a key."""
+    keyed = landed.where(F.col(spec.primary_key).isNotNull())
+    newest = prepare_batch(keyed, spec.primary_key, spec.cursor_column, ["run_id"])
     return SILVER_MODELS[spec.name](newest)
 
 
+def _rejects(root: str, spec: TableSpec) -> str:
+    return f"{root.rstrip('/')}/rejects/{spec.name}_source"
+
+
+def read_rejects(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """Landed rows without a key of all days, with their ``ingest_date`` and ``run_id``."""
+    schema = bronze_schema(spec)
+    if not Folders(spark, _rejects(root, spec)).exists():
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_rejects(root, spec))
+
+
 def transform_day(spark: SparkSession, root: str, spec: TableSpec, day: str | None = None,
                   guard: bool = True) -> bool:
-    """Merge one landed day into its silver table; False when there is nothing to do.
+    """Merge one landed day (``yyyymmdd``, today by default) into its silver table; False if nothing landed.
 
-    With the guard, a rerun of an older day cannot overwrite newer rows. Rows without a key are
-    kept in ``rejects/<table>_source/<day>``, where a rerun replaces them; they are not merged.
+    With the guard, a rerun of an older day cannot overwrite newer rows. Rows without a key are not merged but
+    kept in ``rejects/<table>_source/ingest_date=<day>``; a rerun of the day replaces its rejects, also by none.
     """
-    landed = read_bronze_day(spark, f"{root}/bronze", spec, day)
-    if landed.isEmpty():
+    wanted = day or f"{date.today():%Y%m%d}"
+    landed = read_bronze_day(spark, f"{root}/bronze", spec, wanted)
+    kept = Observation(f"landed_{spec.name}")
+    key = F.col(spec.primary_key)
+    seen = landed.observe(kept, F.count(F.lit(1)).alias("landed"), F.count_if(key.isNull()).alias("keyless"))
+    folder = f"{root.rstrip('/')}/staging/{spec.name}_{wanted}"
+    batch = stored(silver_batch(seen, spec), folder)
+    counts = kept.get
+    if not counts["landed"]:
         return False
-    keyless = landed.where(F.col(spec.primary_key).isNull())
-    if not keyless.isEmpty():
-        keyless.write.mode("overwrite").parquet(f"{root.rstrip('/')}/rejects/{spec.name}_source/{day or 'all'}")
-        landed = landed.where(F.col(spec.primary_key).isNotNull())
+    rejects, own = Folders(spark, _rejects(root, spec)), f"ingest_date={datetime.strptime(wanted, '%Y%m%d'):%Y-%m-%d}"
+    if counts["keyless"]:
+        landed.where(key.isNull()).drop("ingest_date").write.mode("overwrite").partitionBy("run_id").parquet(f"{rejects.root}/{own}")
+    else:
+        rejects.delete(own)
     silver_table(spark, root, spec).merge(
-        silver_batch(landed, spec),
-        SILVER_UPDATE_COLUMNS[spec.name],
-        version="updated_at" if guard else None,
-        keys=landed,
+        batch, SILVER_UPDATE_COLUMNS[spec.name], version="updated_at" if guard else None, keys=batch
     )
+    Folders(spark, folder).delete("")
     return True
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import SparkSession
 
 from brookmark.plans.lakehouse import silver_table
 from brookmark.plans.warehouse import raw_table
+from brookmark.sources.files import Folders
 from brookmark.sources.tables import ensure_namespace
-from brookmark.specs import CATALOG, TableSpec
+from brookmark.specs import CATALOG, SILVER_PARTITIONS, TableSpec
 from brookmark.streaming.cdc import tie_order
-from brookmark.streaming.mirror import Mirror
+from brookmark.streaming.mirror import NO_BATCH, Mirror, mirror_of
 
 
 def _view(spark: SparkSession, layer: str, name: str, text: str) -> None:
@@ -24,19 +25,30 @@ def publish_raw(spark: SparkSession, root: str, spec: TableSpec) -> None:
 
 
 def publish_lake(spark: SparkSession, root: str, spec: TableSpec) -> None:
-    columns = ", ".join([*spec.column_names, "processed_at"])
+    """``lake.<t>``; a filter on the table's attribute opens only its folders."""
+    attribute = SILVER_PARTITIONS.get(spec.name)
+    text = f"CAST({attribute} AS STRING)"  # a folder name that looks like a number is read as one
+    value = f"CASE WHEN {text} LIKE '=%' THEN substring({text}, 2) ELSE {text} END AS {attribute}"
+    columns = ", ".join(value if c == attribute else c for c in [*spec.column_names, "processed_at"])
     _view(spark, "lake", spec.name, f"SELECT {columns} FROM parquet.`{root}/silver/{spec.name}`")
 
 
 def publish_mirror(spark: SparkSession, mirror: Mirror) -> None:
-    """``mirror.<t>`` shows every version, ``mirror.<t>_current`` the live rows.
+    """``mirror.<t>`` shows every version that counts, ``mirror.<t>_current`` the live rows.
 
-    Call it again after the first compaction, when the base comes into being.
+    The views follow the log, compactions and the removal of folded batches without being made again: of the log
+    only batches after the mark are read, as the mirror itself does, and each folder keeps a file
+    with its columns.
     """
-    spec, names = mirror.spec, ", ".join(mirror.schema.fieldNames())
-    parts = ["log"] if mirror.base.read_or_none() is None else ["log", "base"]
-    versions = " UNION ALL ".join(f"SELECT {names} FROM parquet.`{mirror.path}/{p}`" for p in parts)
-    _view(spark, "mirror", spec.name, versions)
+    mirror.prepare()
+    spec, names = mirror.spec, ", ".join(f.name for f in mirror.schema.fields if f.name != "batch_id")
+    number = "CAST(batch_id AS BIGINT) AS batch_id"  # a folder of the log, a column of the base
+    mark = f"(SELECT coalesce(max(upto), {NO_BATCH}) FROM parquet.`{mirror.path}/folded`)"
+    _view(
+        spark, "mirror", spec.name,
+        f"SELECT {names}, {number} FROM parquet.`{mirror.path}/base`"
+        f" UNION ALL SELECT {names}, {number} FROM parquet.`{mirror.path}/log` WHERE batch_id > {mark}",
+    )
     order = ", ".join(f"{c} DESC NULLS LAST" for c in tie_order(mirror.schema.fieldNames(), spec))
     _view(
         spark, "mirror", f"{spec.name}_current",
@@ -46,11 +58,17 @@ def publish_mirror(spark: SparkSession, mirror: Mirror) -> None:
     )
 
 
+def mirror_path(root: str, spec: TableSpec) -> str:
+    return f"{root.rstrip('/')}/mirror/{spec.name}"
+
+
 def publish(spark: SparkSession, root: str) -> None:
-    """Raw and lake views of the operational tables stored under a root; absent ones are left out."""
+    """Raw, lake and mirror views of the operational tables stored under a root; absent ones are left out."""
     root = root.rstrip("/")
     for spec in CATALOG.values():
         if raw_table(spark, root, spec).read_or_none() is not None:
             publish_raw(spark, root, spec)
         if silver_table(spark, root, spec).read_or_none() is not None:
             publish_lake(spark, root, spec)
+        if Folders(spark, mirror_path(root, spec)).exists("log"):
+            publish_mirror(spark, mirror_of(spark, mirror_path(root, spec), spec))

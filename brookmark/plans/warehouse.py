@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from brookmark.frames import LazyFrames
 from brookmark.operators import clean, star
-from brookmark.operators.merge import assert_no_conflicts, prepare_batch
+from brookmark.operators.merge import prepare_batch
 from brookmark.sources.bronze import write_bronze
 from brookmark.sources.extract import extract_incremental, guard_keys
+from brookmark.sources.ledger import LoadLedger
 from brookmark.sources.tables import SlotTable, materialize
+from brookmark.sources.unique import UniqueIndex
 from brookmark.specs import CATALOG, TableSpec
 
 
@@ -67,13 +69,15 @@ def ingest(spark: SparkSession, source: DataFrame, root: str, spec: TableSpec,
            logical_time: datetime, overlap: timedelta = timedelta(0)) -> int:
     """One incremental load of a table into the landing area and the raw layer; rows synced.
 
+    The mark comes from the ledger of loads; the target is scanned for it only where the ledger has none.
     A table without a cursor is loaded in full. ``overlap`` reaches back behind the mark for late
-    commits. Versions of a key with one cursor value are settled by all other columns. A row without a key fails the landing write before anything is committed. The landed files
+    commits. Unique columns are checked against their index. Versions of a key with one cursor value are settled by all other columns. A row without a key fails the landing write before anything is committed. The landed files
     are read back for the merge, so the source is read once.
     """
-    raw = raw_table(spark, root, spec)
+    raw, ledger = raw_table(spark, root, spec), LoadLedger(spark, root)
     stored = raw.read_or_none()
-    fresh = extract_incremental(source, stored, spec, overlap)
+    mark = ledger.mark(spec) if spec.cursor_column and stored is not None else None
+    fresh = extract_incremental(source, stored, spec, overlap, mark)
     loaded = write_bronze(guard_keys(fresh, spec), f"{root}/bronze", spec, logical_time)
     synced = loaded.get["rows_synced"]
     if synced == 0:
@@ -85,8 +89,12 @@ def ingest(spark: SparkSession, source: DataFrame, root: str, spec: TableSpec,
     others = [c for c in spec.schema.names if c not in (spec.primary_key, spec.cursor_column)]
     batch = prepare_batch(landed, spec.primary_key, spec.cursor_column, others)
     for column in spec.unique_columns:
-        assert_no_conflicts(stored, batch, column, spec.primary_key)
+        index = UniqueIndex(raw, column)
+        index.build()
+        index.check(batch)
+        index.add(batch)
     raw.merge(batch, spec.update_columns, version=None, keys=landed)
+    ledger.record(spec, logical_time, synced, loaded.get["mark"])
     return synced
 
 

@@ -23,13 +23,15 @@ def run_stamp(logical_time: datetime) -> str:
 def write_bronze(
     df: DataFrame, root: str, spec: TableSpec, logical_time: datetime, max_rows: int = 5_000_000
 ) -> Observation:
-    """Land a batch under its day and run; returns the observed row count of the same pass.
+    """Land a batch under its day and run; returns what the same pass observed: ``rows_synced`` and
+    ``mark``, the highest cursor in microseconds (null without one).
 
     Dynamic partition overwrite makes a retry replace its own files and leaves other runs alone.
     """
     loaded = Observation(f"rows_synced_{spec.name}")
+    mark = F.max(F.unix_micros(spec.cursor_column)) if spec.cursor_column else F.max(F.lit(None).cast("long"))
     (
-        df.observe(loaded, F.count(F.lit(1)).alias("rows_synced"))
+        df.observe(loaded, F.count(F.lit(1)).alias("rows_synced"), mark.alias("mark"))
         .withColumn("ingest_date", F.lit(logical_time.date()))
         .withColumn("run_id", F.lit(run_stamp(logical_time)))
         .write.partitionBy("ingest_date", "run_id")
@@ -41,7 +43,7 @@ def write_bronze(
     return loaded
 
 
-def _bronze_schema(spec: TableSpec) -> T.StructType:
+def bronze_schema(spec: TableSpec) -> T.StructType:
     return (
         T.StructType([T.StructField(f.name, f.dataType, True) for f in spec.schema.fields])
         .add("ingest_date", T.DateType())
@@ -50,7 +52,7 @@ def _bronze_schema(spec: TableSpec) -> T.StructType:
 
 
 def _read_under(spark: SparkSession, root: str, spec: TableSpec, folder: str) -> DataFrame:
-    schema, base = _bronze_schema(spec), bronze_root(root, spec)
+    schema, base = bronze_schema(spec), bronze_root(root, spec)
     try:
         return spark.read.schema(schema).option("basePath", base).parquet(f"{base}{folder}")
     except AnalysisException as error:

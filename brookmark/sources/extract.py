@@ -106,16 +106,20 @@ def high_water_mark(target: DataFrame | None, spec: TableSpec) -> datetime | Non
 
 
 def newer_than(
-    source: DataFrame, spec: TableSpec, mark: datetime | None, overlap: timedelta = timedelta(0)
+    source: DataFrame, spec: TableSpec, mark: datetime | int | None, overlap: timedelta = timedelta(0)
 ) -> DataFrame:
-    """Rows with a cursor strictly above the mark.
+    """Rows with a cursor strictly above the mark (a time, or microseconds as a ledger keeps them).
 
     The mark is a literal, so the filter reaches the parquet or row-store scan. ``overlap`` reads
     a little behind the mark to pick up late commits; keyed merges make that harmless.
     """
     if mark is None:
         return source
-    return source.where(F.col(spec.cursor_column) > F.lit(mark - overlap))
+    if isinstance(mark, int):
+        line = F.timestamp_micros(F.lit(mark - overlap // timedelta(microseconds=1)))
+    else:
+        line = F.lit(mark - overlap)
+    return source.where(F.col(spec.cursor_column) > line)
 
 
 def extract_incremental(
@@ -123,10 +127,14 @@ def extract_incremental(
     target: DataFrame | None,
     spec: TableSpec,
     overlap: timedelta = timedelta(0),
+    mark: datetime | int | None = None,
 ) -> DataFrame:
-    """Rows changed since the target was last loaded, or all of them on a first load."""
+    """Rows changed since the target was last loaded, or all of them on a first load.
+
+    A known mark saves the scan of the target for it.
+    """
     rows = conform(check_schema(source, spec), spec)
-    return newer_than(rows, spec, high_water_mark(target, spec), overlap)
+    return newer_than(rows, spec, high_water_mark(target, spec) if mark is None else mark, overlap)
 
 
 def guard_keys(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -261,6 +261,9 @@ SILVER_UPDATE_COLUMNS: dict[str, tuple[str, ...]] = {
     ),
 }
 
+# Attribute whose folders a silver table lies in; order items have none.
+SILVER_PARTITIONS: dict[str, str] = {"orders": "status", "customers": "state", "products": "category"}
+
 # Column a silver table is clustered on by maintenance.
 CLUSTER_COLUMNS: dict[str, str] = {
     "orders": "order_date",

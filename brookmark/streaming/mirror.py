@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from brookmark.sources.attribute import AttributeTable
+from brookmark.sources.files import Folders
 from brookmark.sources.tables import SlotTable
 from brookmark.specs import TableSpec
 from brookmark.streaming.cdc import DELETED, VERSION, collapse, current, parse_cdc
 
+#: Number of the log folder that holds the columns and no rows.
+NO_BATCH = -1
+
 
 class Mirror:
     """Versions of one table under ``path``.
@@ -23,6 +28,9 @@ class Mirror:
     idempotent it does not matter where a compaction was interrupted: without its row the batches
     are read from both. Batches come with rising numbers, as a stream gives them; one at or below the
     mark may only be a repetition. A rebuild from the first message takes a new path.
+
+    Each of the three folders begins with a file without rows (``prepare``), which maintenance never removes, so
+    that SQL on the folders finds their columns whatever has come or gone.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, width: int | None = 1_000_000):
@@ -40,6 +48,21 @@ class Mirror:
             .add("batch_id", T.LongType())
         )
 
+    def prepare(self) -> None:
+        """Lay down the folders with their columns, where that was not done yet."""
+        folders = Folders(self.spark, self.path)
+        rows = [f for f in self.schema.fields if f.name != "batch_id"]
+        for part, schema in (
+            (f"log/batch_id={NO_BATCH}", T.StructType(rows)),
+            ("folded", T.StructType([T.StructField("upto", T.LongType())])),
+            *self._base_folders(),
+        ):
+            if not folders.exists(f"{part}/_SUCCESS"):
+                self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{part}")
+
+    def _base_folders(self) -> list[tuple[str, T.StructType]]:
+        return [("base/slot=-1", self.schema)]
+
     def append(self, batch: DataFrame, batch_id: int) -> None:
         """Store a micro-batch, at most one version per key; used as the stream's batch function."""
         rows = batch if "seq" in batch.columns else batch.withColumn("seq", F.lit(None).cast("long"))
@@ -100,12 +123,78 @@ class Mirror:
         """Log folders that the base has made redundant, all of them or those up to a batch."""
         mark = self.folded()
         last = -1 if mark is None else mark if upto is None else min(mark, upto)
-        batches = self._stored("log", self.schema).where(F.col("batch_id") <= last).select("batch_id").distinct()
+        batches = self._stored("log", self.schema).where(F.col("batch_id").between(0, last)).select("batch_id").distinct()
         return batches.select(
             F.concat(F.lit(f"{self.path}/log/batch_id="), F.col("batch_id").cast("string")).alias("path")
         )
 
 
+class MonthMirror(Mirror):
+    """Mirror whose base lies in folders of the month of the specification's partition column.
+
+    The column never changes, so all versions of a key belong to one month, except that a delete may come
+    with the key alone: its date is then the default and its month a wrong one. The map of keys beside
+    the base gives such a tombstone the month of the row that it ends, and the collapse is by key
+    over all folders a key may lie in, so a late delete hides its row in whatever month it was logged.
+    A tombstone that comes before its row stays in its own month until the row comes, which it then hides.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, width: int | None = 1_000_000):
+        if spec.partition_column is None:
+            raise ValueError(f"{spec.name} has no partition column")
+        super().__init__(spark, path, spec, width)
+        stored = T.StructType([*self.schema.fields, T.StructField("month", T.StringType())])
+        self.base = AttributeTable(spark, f"{self.path}/base", spec.primary_key, "month", stored, width)
+
+    def _base_folders(self) -> list[tuple[str, T.StructType]]:
+        return [("base/month=none/slot=-1", self.schema)]
+
+    def _month(self) -> Column:
+        return F.date_format(self.spec.partition_column, "yyyy-MM")
+
+    def _settle(self, stored: DataFrame, batch: DataFrame, places: DataFrame) -> DataFrame:
+        """Newest version of each key; a tombstone keeps the month its key was in, a row takes its own."""
+        newest = collapse(stored.unionByName(batch), self.spec)
+        met = newest.join(places, self.spec.primary_key, "left")
+        month = F.when(F.col(DELETED), F.coalesce("value", self._month())).otherwise(self._month())
+        return met.withColumn("month", month).drop("value")
+
+    def compact(self, upto: int | None = None) -> None:
+        """Fold log batches into the base, rewriting only the months and key slots they touch."""
+        log = self._log() if upto is None else self._log().where(F.col("batch_id") <= upto)
+        last = log.agg(F.max("batch_id")).first()[0]
+        if last is None:
+            return
+        news = collapse(log.where(F.col("batch_id") <= last), self.spec).withColumn("month", self._month())
+        self.base.merge(news, combine=self._settle)
+        mark = self.spark.createDataFrame([(last,)], "upto long").coalesce(1)
+        mark.write.mode("append").parquet(f"{self.path}/folded")
+
+    def month(self, month: str) -> DataFrame:
+        """Live rows of one month (``yyyy-MM``).
+
+        Of the base its folder is opened, and the folders of keys that the log has news of; all news of
+        the log count, whatever month they are logged under.
+        """
+        log = self._log()
+        base = self.base.read()
+        moved = self.base.places_of(log)
+        elsewhere = ~F.col("value").eqNullSafe(month)
+        months = [r[0] for r in moved.where(elsewhere).select("value").distinct().collect()]  # folder names
+        own = base.where(F.col("month") == month)
+        # of other months only keys in the log matter, since only these may also stand in this one
+        for other in months:
+            rows = base.where(F.col("month").isNull() if other is None else F.col("month") == other)
+            own = own.unionByName(rows.join(log.select(self.spec.primary_key).distinct(), self.spec.primary_key, "left_semi").select(*own.columns))
+        versions = own.select(*log.columns).unionByName(log)
+        return current(versions, self.spec).where(self._month() == month)
+
+
+def mirror_of(spark: SparkSession, path: str, spec: TableSpec) -> Mirror:
+    """Mirror in the layout the specification asks for."""
+    return (Mirror if spec.partition_column is None else MonthMirror)(spark, path, spec)
+
+
 def run_mirror(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str,
                once: bool = False, interval: str = "10 seconds") -> StreamingQuery:
     """Keep a mirror of a change-log stream.
@@ -114,7 +203,8 @@ def run_mirror(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str,
     earliest message. ``once`` works off what is there and stops.
     """
     spark = stream.sparkSession
-    mirror = Mirror(spark, path, spec)
+    mirror = mirror_of(spark, path, spec)
+    mirror.prepare()
     writer = parse_cdc(stream, spec).writeStream.foreachBatch(mirror.append).option(
         "checkpointLocation", checkpoint
     )

@@ -35,7 +35,7 @@ def test_retention_and_rewrite(spark, tmp_path):
     table = silver_table(spark, root, SPEC)
     table.read().repartition(4).withColumn("slot", F.lit(0)).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy("slot").parquet(table.path)
+    ).partitionBy("status", "slot").parquet(table.path)
     assert list_files(spark, table.path).count() == 4
     assert run_maintenance(spark, root, NOW) == {"bronze_files_deleted": 2, "silver_folders_rewritten": 0}
     assert read_bronze_history(spark, f"{root}/bronze", SPEC).count() == 1
