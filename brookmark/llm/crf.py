@@ -6,9 +6,12 @@ learning each line carries the label of its document. A document's quality is th
 lines of the forward-backward marginal of the good state, weighted by the lines' lengths.
 
 The field is fitted on a bounded sample (``sample`` labelled documents, those with the lowest hash of
-their id); everything is scored. Scoring maps documents where they lie, without a shuffle.
+their id, and of their texts as many as have ``sample_chars`` characters together); everything is scored.
+Scoring maps documents where they lie, without a shuffle.
 
-Null and empty texts are one empty line. Lines beyond any number are all scored. Repeated rows are scored
+Null and empty texts are one empty line. Lines beyond any number are all scored: chains are put side by side
+only while their matrix has few cells, so a text with very many lines is worked off alone, in memory
+proportional to its own lines. Repeated rows are scored
 each. Unlabelled, null-labelled and null-id rows are never learned from; a ``doc_id`` labelled both
 ways is learned from both ways. Without labelled rows every score is 0.5.
 """
@@ -19,10 +22,10 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brookmark.llm.text import map_batches, raw, sliced
+from brookmark.llm.text import carried, map_batches, raw, restored, sliced
 
 _UPPER, _MARKS = bytes(range(65, 91)), b"#*$%&|<>!"
 _LETTERS = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
@@ -179,8 +182,30 @@ def _scale(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, fl
     return float(max(w[0], 0.05)), float(w[1])
 
 
-def quality(texts: list[bytes | None], field: Field) -> tuple[np.ndarray, list[np.ndarray]]:
+def side_by_side(texts: list[bytes | None], cells: int) -> list[np.ndarray]:
+    """Texts in groups whose padded matrices have at most so many cells each, or hold one text."""
+    lines = np.array([1 if t is None else t.count(b"\n") + 1 for t in texts], np.int64)
+    order = np.argsort(-lines, kind="stable")
+    groups, start = [], 0
+    for at in range(1, len(order) + 1):
+        if at == len(order) or lines[order[start]] * (at - start + 1) > cells:
+            groups.append(order[start:at])
+            start = at
+    return groups
+
+
+def quality(texts: list[bytes | None], field: Field, cells: int = 200_000) -> tuple[np.ndarray, list[np.ndarray]]:
     """Documents' scores and their lines' marginals."""
+    scores, lines = np.zeros(len(texts)), [np.zeros(0)] * len(texts)
+    for group in side_by_side(texts, cells):
+        found, own = _quality([texts[i] for i in group], field)
+        scores[group] = found
+        for i, marginals in zip(group, own):
+            lines[i] = marginals
+    return scores, lines
+
+
+def _quality(texts: list[bytes | None], field: Field) -> tuple[np.ndarray, list[np.ndarray]]:
     features, weights, starts = _flat(texts)
     emit, inside, order = _padded(features @ field.emission, starts)
     good, _, _ = _forward_backward(emit, inside, field.transition)
@@ -193,13 +218,19 @@ def quality(texts: list[bytes | None], field: Field) -> tuple[np.ndarray, list[n
     return 1 / (1 + np.exp(-np.clip(a * _logit(scores) + b, -30, 30))), lines
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> Field:
-    """Fit on at most ``sample`` labelled documents; ``labels`` has doc_id and quality (0 or 1)."""
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 4000, sample_chars: int = 100_000_000) -> Field:
+    """Fit on at most ``sample`` labelled documents; ``labels`` has doc_id and quality (0 or 1).
+
+    Texts are taken in the order of their ids' hashes while they have at most ``sample_chars`` characters together.
+    """
     known = labels.where("doc_id is not null and quality in (0, 1)").select("doc_id", "quality").distinct()
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
     texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "quality", F.xxhash64("text")).limit(2 * sample)
-    held = rows.select("text", "quality").toArrow()  # at most 2 * sample texts
+    by_hash = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
+    size = F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).over(by_hash)  # of at most 2 * sample rows
+    taken = rows.withColumn("__size", size).where(F.col("__size") <= sample_chars).orderBy("doc_id", "quality", F.xxhash64("text"))
+    held = taken.select("text", "quality").toArrow()  # at most 2 * sample texts
     return fit(raw(held.column("text").combine_chunks()) if held.num_rows else [], held.column("quality").to_pylist())
 
 
@@ -219,5 +250,5 @@ def score(docs: DataFrame, field: Field, rows: int = 1000) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = 4000) -> DataFrame:
     """Documents whose quality reaches the threshold, with the columns they came with."""
-    judged = score(docs, learn(docs, labels, sample))
-    return judged.where(F.col("score") >= threshold).select(*docs.columns)
+    judged = score(carried(docs, "text"), learn(docs, labels, sample))
+    return restored(judged.where(F.col("score") >= threshold), docs, "text")

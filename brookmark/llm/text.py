@@ -39,6 +39,21 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+#: Column that carries what an operator does not read.
+CARRIED = "carried"
+
+
+def carried(docs: DataFrame, *own: str) -> DataFrame:
+    """The named columns and all others in one struct, so that no name an operator adds can clash with theirs."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(*own, (F.struct(*rest) if rest else F.lit(True)).alias(CARRIED))
+
+
+def restored(made: DataFrame, docs: DataFrame, *own: str) -> DataFrame:
+    """The columns as they were before ``carried``."""
+    return made.select(*[F.col(c) if c in own else F.col(f"{CARRIED}.`{c}`").alias(c) for c in docs.columns])
+
+
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
