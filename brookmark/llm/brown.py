@@ -2,7 +2,7 @@
 
 1. A scan counts all words, which gives the frequent ones (``share`` of all tokens or more, so at most 1 / share of
    them), and a second one counts all their bigrams. Exchange clustering assigns them to ``classes`` classes: each word in turn goes where the
-   likelihood of the class bigrams gains most, until a sweep moves none.
+   likelihood of the class bigrams gains most, until a sweep moves none or ``sweeps`` (8) are done.
 2. Documents are dealt to blocks by hash. Per block one row for each distinct word gives its training count and how
    often each frequent class stands before and behind it. Sums over blocks give exact counts of all words and the class
    that all their neighbours speak for most: the exchange step for all other words. Both go back to the blocks a word stands in.
@@ -12,8 +12,10 @@
    transition table (a few hundred rows, from all training documents) completes the scores.
 
 Classes: frequent, rarer ones of the same kinds, words without evidence, words met once, and the end.
-Words met once in training stand for unknown ones: the class gives half its mass to the unknown word.
-Thus the model is a distribution over the training words and one unknown word, as the base is.
+Words met once in training stand for unknown ones, and by Good and Turing's estimate there are as many of these as
+of those: their class deals its mass evenly to the words met once and to as many words never met, so an unknown
+word is as improbable as one met once. Thus the model is a distribution over the training words and as many
+unknown words as were met once.
 
 Words are named by 64-bit hashes. Null and empty texts have the end token only. Repeated rows are scored each, and
 learned from each. Rows with a null ``doc_id`` are scored, not learned from. No count depends on how the input is
@@ -86,7 +88,8 @@ def frequent_bigrams(docs: DataFrame, words: np.ndarray, chunk: int = 2_000_000)
 
 
 def exchange(size: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, classes: int, sweeps: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each of ``size`` words (most frequent first) and the class bigram counts."""
+    """Class of each of ``size`` words (most frequent first) and the class bigram counts, after at most ``sweeps``
+    sweeps over the words."""
     cls = np.arange(size) % classes
     n = n.astype(float)
     out_order, in_order = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
@@ -370,9 +373,9 @@ def score(
     moved = F.aggregate(
         F.zip_with("codes", "times", lambda c, n: F.get(weights, c.cast("int")) * n), F.lit(0.0), lambda x, y: x + y
     )
-    known_once, unknown = F.col("n_once"), F.col("n_tokens") - F.col("n_known")
+    rare = F.col("n_once") + F.col("n_tokens") - F.col("n_known")  # words met once or never
     base = F.col("base") - F.col("n_tokens") * F.lit(float(np.log10(total + 0.5 * (distinct + 1))))
-    full = moved + F.col("emission") + known_once * F.lit(once) + unknown * F.lit(float(np.log10(0.5)))
+    full = moved + F.col("emission") + rare * F.lit(once)
     return rows.select(
         "doc_id", "learn", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), full.alias("score"),
         F.pow(F.lit(10.0), -full / F.col("n_tokens")).alias("perplexity"),
@@ -381,7 +384,7 @@ def score(
 
 def transition_law(table: np.ndarray, classes: int, weight: float = 1.0) -> tuple[np.ndarray, float]:
     """log10 of a class given the one before, less log10 of the class's size where its words' counts
-    complete the emission; and log10 of the emission of a word met once."""
+    complete the emission; and log10 of the emission of a word met once, or never."""
     size = table.sum(0)
     prior = (size + 0.5) / (size + 0.5).sum()
     law = np.log10((table + weight * prior) / (table.sum(1, keepdims=True) + weight))

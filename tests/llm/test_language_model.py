@@ -115,8 +115,7 @@ def brute_scores(rows):
         s = sum(law[x, y] for x, y in zip(c, c[1:]))
         for w in t[:-1]:
             n = counts[w]
-            s += np.log10(n) if n > 1 else unknown if n == 1 else np.log10(0.5)
-            # a word never met gets the other half of the mass that its class gives to one met once
+            s += np.log10(n) if n > 1 else unknown  # a word never met is as improbable as one met once
         scores[i] = s
     return scores
 
@@ -141,3 +140,35 @@ def test_unevenly_spread_words_are_counted_whole(spark):
     assert set(names.tolist()) == often
     assert brown.tokens_of(b"hot")[0].item() in often
     assert table.sum() == sum(x in often and y in often for t in tokens for x, y in zip([0, *t.tolist()], t.tolist()))
+
+
+def test_gibberish_is_worse_than_text(spark):
+    """Invented words score below known ones, a word, and below the text of the same length that the model knows."""
+    rng = random.Random(9)
+    words = [f"v{i}" for i in range(300)]
+    real = [" ".join(rng.choice(words[: 20 + 10 * (k % 20)]) for _ in range(60)) for k in range(200)]
+    once = [f"{t} rare{k}" for k, t in enumerate(real)]
+    odd = {9000 + k: " ".join(f"zz{k}q{i}" for i in range(60)) for k in range(20)}
+    docs = [*enumerate(once), *odd.items()]
+    scored = brown.score(spark.createDataFrame(docs, SCHEMA), F.col("doc_id") < 9000, CLASSES, SHARE).collect()
+    rate = {r["doc_id"]: r["score"] / r["n_tokens"] for r in scored}
+    assert max(rate[i] for i in odd) < min(v for i, v in rate.items() if i not in odd)
+
+
+def test_the_model_is_a_distribution(spark, rows):
+    """All words, met or not, get a mass of one behind every class; written anew from the counts."""
+    tokens, counts, kind, _ = brute_model(rows)
+    once, end = 2 * CLASSES + 1, 2 * CLASSES + 2
+    moves = np.zeros((end + 1, end + 1))
+    for i, t in tokens.items():
+        if learned(i):
+            c = [end, *[kind.get(w, once) for w in t[:-1]], end]
+            np.add.at(moves, (c[:-1], c[1:]), 1)
+    law, rare = brown.transition_law(moves, CLASSES)
+    met_once = sum(1 for w, n in counts.items() if n == 1 and w)
+    for before in range(end + 1):
+        mass = 10 ** law[before, end] + 2 * met_once * 10 ** (law[before, once] + rare)
+        mass += sum(n * 10 ** law[before, kind[w]] for w, n in counts.items() if n > 1 and w and kind[w] <= 2 * CLASSES)
+        assert mass <= 1 + 1e-9
+        if all(moves[:, k].sum() for k in range(end + 1)):
+            assert np.isclose(mass, 1)
