@@ -1,15 +1,15 @@
 """Benchmark decontamination on DataFrame functions alone.
 
-Benchmark texts become a set of hashed word n-grams; their number is counted first, and only a set of
-up to ``broadcast_grams`` is broadcast (beyond it Spark joins by shuffle). Every window of every document is hashed where it
+Benchmark texts become a set of hashed word n-grams; their bytes are counted first, and only a set of
+up to ``broadcast_bytes`` is broadcast (beyond it Spark joins by shuffle). Every window of every document is hashed where it
 is scanned and looked up in that set; the few hits are then verified word by word against the
 benchmark's own words, so hash collisions never mark anything.
 
 Words are runs of ASCII letters and digits and of anything beyond ASCII, A-Z lower-cased. An item with
 fewer words than a window is one window of its own length. Null and empty texts have no words:
 such documents have no hits, such items no windows. Repeated document rows are judged each on its own
-text (hits of all rows of one ``doc_id`` are verified against each row); rows without a ``doc_id`` are
-judged under the null id. Items with the same text each count.
+text, whatever their ids: hits are gathered under a hash of id and text. Items with the same text each count.
+Further columns of any name stay, but for the three that are added.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmark.llm.text import ascii_lower, staged
+from brookmark.llm.text import CARRIED, ascii_lower, carried, restored, staged
 
 #: What parts words (fixed value of the contract).
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -49,20 +49,24 @@ def benchmark_grams(benchmark: DataFrame, window: int = 10) -> DataFrame:
     )
 
 
+def _row_key(ident: str = "doc_id") -> Column:
+    """Hash of a row's id and text: equal rows have equal hits, others are kept apart."""
+    return F.xxhash64(ident, F.col(ident).isNull(), "text")
+
+
 def _hits(docs: DataFrame, grams: DataFrame, lengths: list[int], broadcast: bool) -> DataFrame:
-    """(doc_id, found): per document the distinct (position, n, hash) that look like benchmark windows."""
-    words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    found = None
-    for n in lengths:
-        wanted = grams.where(F.col("n") == n).select("hash").distinct()
-        scan = words.select("doc_id", F.posexplode(_windows(F.col("words"), n)).alias("at", "hash"))
-        hit = scan.join(F.broadcast(wanted) if broadcast else wanted, "hash").withColumn("n", F.lit(n))
-        found = hit if found is None else found.unionByName(hit)
-    return found.groupBy("doc_id").agg(F.collect_set(F.struct("at", "n", "hash")).alias("found"))
+    """(row_key, found): the distinct (position, n, hash) of a row that look like benchmark windows."""
+    words = docs.select(_row_key().alias("row_key"), words_of(F.col("text")).alias("words"))
+    # all lengths in one pass, so a text is read and split once
+    each = F.inline(F.array(*[F.struct(F.lit(n).alias("n"), _windows(F.col("words"), n).alias("hashes")) for n in lengths]))
+    scan = words.select("row_key", each).select("row_key", "n", F.posexplode("hashes").alias("at", "hash"))
+    wanted = grams.select("n", "hash").distinct()
+    hit = scan.join(F.broadcast(wanted) if broadcast else wanted, ["n", "hash"])
+    return hit.groupBy("row_key").agg(F.collect_set(F.struct("at", "n", "hash")).alias("found"))
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, broadcast_grams: int = 1_000_000
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, broadcast_bytes: int = 64_000_000
 ) -> DataFrame:
     """Every document with what it shares with the benchmark.
 
@@ -70,42 +74,40 @@ def contamination(
     (sorted ids, as strings, of the items whose windows occur); other columns stay, those of the same
     names are replaced.
     """
-    # the benchmark's windows, stored once; a set of up to broadcast_grams rows is 8 bytes a row
+    # the benchmark's windows, stored once; they are broadcast only where their bytes are few
     grams = staged(benchmark_grams(benchmark, window))
-    by_length = {r["n"]: r["count"] for r in grams.groupBy("n").count().collect()}  # `window` rows at most
+    size = F.sum(F.length(F.array_join("gram", " ")) * 4 + F.length(F.col("item_id").cast("string")) * 4 + 64)  # 4 bytes a character at most
+    by_length = {r["n"]: r["bytes"] for r in grams.groupBy("n").agg(size.alias("bytes")).collect()}  # `window` rows at most
     plain = docs.drop("n_words", "hit_words", "items")
     if not by_length:
         return plain.withColumns({
             "n_words": F.size(words_of(F.col("text"))).cast("long"),
             "hit_words": F.array().cast("array<int>"), "items": F.array().cast("array<string>"),
         })
-    lengths = sorted(by_length)
-    small = sum(by_length.values()) <= broadcast_grams
-    seen = _hits(docs, grams, lengths, small)
+    small = sum(by_length.values()) <= broadcast_bytes
+    seen = _hits(docs, grams, sorted(by_length), small)
 
     # what a found window would have to read, and whose it is
     whose = grams.groupBy("hash", "n", "gram").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
     whose = F.broadcast(whose) if small else whose
     claims = (
-        seen.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
+        seen.select("row_key", F.explode("found").alias("f")).select("row_key", "f.*")
         .join(whose, ["hash", "n"])
-        .groupBy("doc_id").agg(F.collect_list(F.struct("at", "n", "gram", "ids")).alias("__claims"))
-        .withColumnRenamed("doc_id", "__of")
-    )
-    joined = plain.join(claims, F.col("doc_id").eqNullSafe(F.col("__of")), "left").drop("__of")
-    words = words_of(F.col("text"))
-    split = joined.withColumn("__words", words)
-    true = F.filter(
-        F.col("__claims"), lambda c: F.slice(F.col("__words"), c["at"] + 1, c["n"]) == c["gram"]
+        .groupBy("row_key").agg(F.collect_list(F.struct("at", "n", "gram", "ids")).alias("claims"))
+        .withColumnRenamed("row_key", "of")
     )
-    verified = split.withColumn("__claims", F.coalesce(true, F.filter(F.col("__claims"), lambda c: F.lit(False))))
-    inside = F.flatten(F.transform("__claims", lambda c: F.sequence(c["at"], c["at"] + c["n"] - 1)))
+    rest = carried(plain, "text").withColumn("row_key", _row_key(f"{CARRIED}.doc_id"))
+    joined = rest.join(claims, F.col("row_key") == F.col("of"), "left")
+    split = joined.withColumn("words", words_of(F.col("text")))
+    true = F.filter(F.col("claims"), lambda c: F.slice(F.col("words"), c["at"] + 1, c["n"]) == c["gram"])
+    verified = split.withColumn("claims", F.coalesce(true, F.filter(F.col("claims"), lambda c: F.lit(False))))
+    inside = F.flatten(F.transform("claims", lambda c: F.sequence(c["at"], c["at"] + c["n"] - 1)))
     return verified.select(
-        *[c for c in plain.columns],
-        F.size("__words").cast("long").alias("n_words"),
+        *[F.col(c) if c == "text" else F.col(f"{CARRIED}.`{c}`").alias(c) for c in plain.columns],
+        F.size("words").cast("long").alias("n_words"),
         F.coalesce(F.array_sort(F.array_distinct(inside)), F.array().cast("array<int>")).alias("hit_words"),
         F.coalesce(
-            F.array_sort(F.array_distinct(F.flatten(F.transform("__claims", lambda c: c["ids"])))),
+            F.array_sort(F.array_distinct(F.flatten(F.transform("claims", lambda c: c["ids"])))),
             F.array().cast("array<string>"),
         ).alias("items"),
     )
@@ -113,8 +115,9 @@ def contamination(
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """Documents that share no window with the benchmark, with the columns they came with."""
-    judged = contamination(docs, benchmark, window)
-    return judged.where(F.size("hit_words") == 0).select(*[F.col(c) for c in docs.columns if c in judged.columns])
+    slim = carried(docs, "doc_id", "text")
+    judged = contamination(slim, benchmark, window)
+    return restored(judged.where(F.size("hit_words") == 0), docs, "doc_id", "text")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -122,10 +125,10 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Dat
 
     Text between words stays as it is, except before a removed word.
     """
-    judged = contamination(docs, benchmark, window)
+    judged = contamination(carried(docs, "doc_id", "text"), benchmark, window)
     between, word = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     pieces = F.regexp_extract_all(F.col("text"), F.lit(f"({between}{word})"), 1)
     tail = F.regexp_extract(F.col("text"), f"({between})$", 1)
     left = F.filter(pieces, lambda piece, i: ~F.array_contains(F.col("hit_words"), i))
     clean = F.when(F.size("hit_words") == 0, F.col("text")).otherwise(F.concat(F.array_join(left, ""), tail))
-    return judged.withColumn("text", clean).select(*docs.columns)
+    return restored(judged.withColumn("text", clean), docs, "doc_id", "text")

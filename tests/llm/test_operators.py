@@ -281,3 +281,66 @@ def test_pipeline(spark):
     assert set(found) == clean
     encoder = bpe.encoder_for(rank_file(), public_tokenizers.PATTERN)
     assert all(found[i] == len(encoder.encode(t)) for i, t in left if i in clean)
+
+
+def test_very_long_text_is_scored_alone(spark):
+    """One text of 100,000 lines among short ones does not widen their matrix."""
+    long = b"\n".join(b"some words of line %d here." % i for i in range(100_000))
+    texts = [b"a b c\nd", long, None] * 2
+    groups = crf.side_by_side(texts, 200_000)
+    assert sorted(i for g in groups for i in g) == list(range(6)) and [len(g) for g in groups] == [2, 4]
+    assert [len(g) for g in crf.side_by_side([long, b"a", None], 50_000)] == [1, 2]
+    field = crf.Field(np.linspace(-1, 1, 3 * crf.OWN + 3), np.array([[0.5, -0.2], [0.1, 0.3]]))
+    together, lines = crf.quality(texts, field)
+    assert len(lines[1]) == 100_000 and together[0] == together[3] and together[1] == together[4]
+    alone = [crf.quality([t], field)[0][0] for t in texts[:3]]
+    assert np.allclose(together[:3], alone)
+    assert crf.quality([], field)[0].tolist() == []
+
+
+def test_fit_takes_a_bounded_number_of_characters(spark):
+    docs = spark.createDataFrame([(i, f"line {i}\n" * (1 + i % 7)) for i in range(60)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    whole, same = crf.learn(docs, labels), crf.learn(docs, labels, sample_chars=10**6)
+    assert np.array_equal(whole.emission, same.emission)
+    assert not np.array_equal(whole.emission, crf.learn(docs, labels, sample_chars=500).emission)
+    assert np.array_equal(crf.learn(docs, labels, sample_chars=0).emission, crf.Field.blank().emission)
+
+
+def test_many_rows_without_an_id(spark):
+    """Hits of rows without an id, and of one id, are not gathered in one place."""
+    item = " ".join(f"q{i}" for i in range(12))
+    rows = [(None, f"{item} own{i}" if i % 100 == 0 else f"nothing here {i}") for i in range(10_000)] + [(1, f"x{i} {item}") for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    grams = decontaminate.benchmark_grams(bench)
+    assert decontaminate._hits(docs, grams, [10], True).count() == 400
+    found = decontaminate.contamination(docs, bench)
+    assert found.where(F.size("hit_words") == 12).count() == 400 and found.count() == len(rows)
+    assert decontaminate.contamination(docs, bench, broadcast_bytes=0).where(F.size("hit_words") == 12).count() == 400
+
+
+def test_columns_with_the_operators_own_names(spark):
+    """The pipeline's filters give all columns back as they came, whatever they are called."""
+    names = "doc_id long, text string, score double, line_scores int, n_lines int, n_dropped int, n_words int, hit_words int, items int, carried int, words int, claims int, row_key int, of int, n_chars long"
+    rows = [(i, "A line of text.\nAnother line of it.", 7.0, *range(1, 12), 3) for i in range(4)] + [(None, None, *[None] * 13)]
+    docs = spark.createDataFrame(rows, names)
+    bench = spark.createDataFrame([(1, "not in any of these texts")], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    import corpus_pipeline
+
+    same = sorted(map(tuple, docs.collect()), key=repr)
+    assert sorted(map(tuple, crf.keep_good(docs, labels).collect()), key=repr) == same
+    assert sorted(map(tuple, decontaminate.remove_contaminated(docs, bench).collect()), key=repr) == same
+    assert sorted(map(tuple, decontaminate.remove_spans(docs, bench).collect()), key=repr) == same
+    cut = corpus_pipeline.shared_lines(spark, docs, "")
+    assert cut.columns == docs.columns
+    assert sorted(map(tuple, cut.drop("n_chars", "text").collect()), key=repr) == sorted(map(tuple, docs.drop("n_chars", "text").collect()), key=repr)
+
+
+def test_pipeline_stages_on_empty_tables(spark, none):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        empty = none.selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "0L as n_chars")
+        assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0, name
