@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from brookmark.llm import bpe, crf, decontaminate, lineindex, prefixtree
 from brookmark.llm.queries import rank_file
-from brookmark.llm.text import fold_of, read, small_batches, staged
+from brookmark.llm.text import carried, fold_of, read, restored, small_batches, staged
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +26,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many share."""
     small_batches(spark)
-    cut = lineindex.dedup_lines(docs)
+    cut = restored(lineindex.dedup_lines(carried(docs, "doc_id", "text")), docs, "doc_id", "text")
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    return cut
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
