@@ -269,7 +269,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame, window: int = 35, shard: int = 40_000) -> DataFrame:
     """(doc, spans): per document the passages of repeated windows, as (start, windows)."""
-    rows = staged(passages(docs, window))
+    rows = passages(docs, window)  # worked out twice, which takes less than storing it
     kinds = staged(kinds_of(rows))
     asked = asked_of(kinds, window, shard).withColumnRenamed("doc", "of").groupBy("of").agg(
         F.collect_list(F.struct("anchor", "start", "windows", "same", "wide")).alias("asks")
