@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brookmark.operators.reconcile import select_keys
 from brookmark.operators.unions import union_all
@@ -43,95 +44,101 @@ def _bad_row(check: Check) -> Column:
 _ROW_KINDS = ("not_null", "accepted_values", "range")
 
 
-def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All single-row checks of a table in one aggregate."""
-    counts = [F.count_if(_bad_row(c)).alias(f"c{i}") for i, c in enumerate(checks)]
-    totals = df.agg(F.count(F.lit(1)).alias("seen"), *counts)
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(c.table).alias("table_name"),
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.kind).alias("check_name"),
-                F.col(f"c{i}").alias("failures"),
-                F.col("seen"),
-            )
-            for i, c in enumerate(checks)
-        ]
-    )
-    return totals.select(F.inline(lines))
+def _plain(value: Column, kind: T.DataType) -> Column:
+    """A value as text that is equal for equal values only."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("string")  # local time repeats an hour a year
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (value + F.lit(0.0).cast(kind)).cast("string")  # one zero
+    return value.cast("string")
 
 
-def _labelled(df: DataFrame, check: Check) -> DataFrame:
-    return df.select(
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_name"),
-        F.coalesce("failures", F.lit(0)).cast("long").alias("failures"),
-        F.coalesce("seen", F.lit(0)).cast("long").alias("seen"),
+def _line(number: int, value: Column | None = None, parent: bool = False, when: Column | None = None) -> Column:
+    made = F.struct(
+        F.lit(number).alias("line"), (F.lit(None).cast("string") if value is None else value).alias("value"),
+        F.lit(parent).alias("parent"),
     )
+    return made if when is None else F.when(when, made)
 
 
-def _unique(df: DataFrame, check: Check) -> DataFrame:
-    """Repeated non-null values; counted per value, so a hot value arrives pre-combined."""
-    values = df.groupBy(check.column).agg(F.count(F.lit(1)).alias("n"))
-    repeated = F.col(check.column).isNotNull() & (F.col("n") > 1)
-    return _labelled(
-        values.agg(F.count_if(repeated).alias("failures"), F.sum("n").alias("seen")), check
-    )
+def _lines(df: DataFrame, table: int, own: dict[int, Check], asked: dict[int, tuple[Check, T.DataType]]) -> DataFrame:
+    """What a table's rows say to all checks, from one pass over it.
 
+    Every row gives one line under the table's number, one per value to be unique or to have a parent, one per row
+    check it fails, and one per reference from elsewhere (``asked``) that it may be the parent of.
+    """
+    lines = [_line(table)]
+    for number, check in own.items():
+        column = F.col(check.column)
+        if check.kind in _ROW_KINDS:
+            lines.append(_line(number, when=_bad_row(check)))
+        else:
+            lines.append(_line(number, _plain(column, df.schema[check.column].dataType), when=column.isNotNull()))
+    for number, (check, kind) in asked.items():
+        known = F.col(check.parent_column).cast(kind)
+        lines.append(_line(number, _plain(known, kind), parent=True, when=known.isNotNull()))
+    return df.select(F.explode(F.array(*lines)).alias("line")).where(F.col("line").isNotNull()).select("line.*")
 
-def _relationships(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Child rows whose non-null reference has no parent, from counts per reference."""
-    references = child.groupBy(F.col(check.column).alias("ref")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(check.parent_column).alias("known")).distinct()
-    orphan = F.col("ref").isNotNull() & F.col("known").isNull()
-    return _labelled(
-        references.join(known, F.col("ref") == F.col("known"), "left").agg(
-            F.sum(F.when(orphan, F.col("n"))).alias("failures"), F.sum("n").alias("seen")
-        ),
-        check,
-    )
 
+def _populated(df: DataFrame, number: int) -> DataFrame:
+    """One line for the check if there is any row; reads no more than that."""
+    return df.limit(1).select(F.lit(number).alias("line"), F.lit(None).cast("string").alias("value"), F.lit(False).alias("parent"))
 
-def _populated(df: DataFrame, check: Check) -> DataFrame:
-    some = df.limit(1).agg(F.count(F.lit(1)).alias("seen"))
-    # emptiness is the finding here, so the check always counts as run
-    return _labelled(some.select((1 - F.col("seen")).alias("failures"), F.lit(1).alias("seen")), check)
 
+def run_checks(spark: SparkSession, frames: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """One row per check: ``(table_name, column_name, check_name, failures, status)``.
 
-def _absent(spark: SparkSession, check: Check) -> DataFrame:
-    missing = spark.range(1).select(
-        F.lit(1 if check.kind == "populated" else 0).alias("failures"),
-        F.lit(1 if check.kind == "populated" else 0).alias("seen"),
+    Each table is read once for all its checks, as a child and as a parent. Lines of all tables meet in one aggregation
+    per check and value, summed before the shuffle, so a hot value is one line of each task; a second one
+    per check gives the counts.
+    """
+    tables = list(dict.fromkeys(c.table for c in checks))
+    parents = [c.parent for c in checks if c.kind == "relationships"]
+    named = {n: frames.get(n) for n in dict.fromkeys([*tables, *parents])}
+    numbered = dict(enumerate(checks))
+    # a reference whose parent is absent cannot be checked
+    runs = {i: c for i, c in numbered.items() if named[c.table] is not None and (c.parent is None or named[c.parent] is not None)}
+    parts = []
+    for place, (name, df) in enumerate(named.items()):
+        own = {i: c for i, c in runs.items() if c.table == name and c.kind != "populated"}
+        asked = {i: (c, named[c.table].schema[c.column].dataType) for i, c in runs.items() if c.parent == name}
+        if df is not None and (own or asked):
+            parts.append(_lines(df, -1 - place, own, asked))
+        parts += [_populated(df, i) for i, c in runs.items() if c.table == name and c.kind == "populated"]
+    number = {name: -1 - place for place, name in enumerate(named)}
+
+    listed = spark.range(1).select(F.inline(F.array(*[
+        F.struct(
+            F.lit(i).alias("check"), F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
+            F.lit(c.kind).alias("check_name"), F.lit(number[c.table]).alias("table"), F.lit(i in runs).alias("runs"),
+        )
+        for i, c in numbered.items()
+    ])))
+    none = F.lit(0).cast("long")
+    if parts:
+        child = F.count_if(~F.col("parent"))
+        met = union_all(parts).groupBy("line", "value").agg(child.alias("n"), F.max("parent").alias("known"))
+        counts = met.groupBy("line").agg(
+            F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"),
+            F.sum(F.when(~F.col("known"), F.col("n"))).alias("alone"),
+        )
+        seen = counts.select(F.col("line").alias("table"), F.col("rows").alias("seen"))
+        found = listed.join(counts, listed.check == counts.line, "left").join(seen, "table", "left")
+    else:
+        found = listed.select("*", none.alias("rows"), none.alias("repeated"), none.alias("alone"), none.alias("seen"))
+    kind = F.col("check_name")
+    empty = F.coalesce("rows", none) == 0
+    failures = (
+        F.when(kind == "populated", empty.cast("long")).when(kind == "unique", F.col("repeated"))
+        .when(kind == "relationships", F.col("alone")).otherwise(F.col("rows"))
     )
-    return _labelled(missing, check)
-
-
-def run_checks(spark: SparkSession, frames: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """One row per check: ``(table_name, column_name, check_name, failures, status)``."""
-    parts: list[DataFrame] = []
-    for table in dict.fromkeys(c.table for c in checks):
-        mine = [c for c in checks if c.table == table]
-        df = frames.get(table)
-        if df is None:
-            parts += [_absent(spark, c) for c in mine]
-            continue
-        by_row = [c for c in mine if c.kind in _ROW_KINDS]
-        if by_row:
-            parts.append(_row_checks(df, by_row))
-        for check in mine:
-            if check.kind == "unique":
-                parts.append(_unique(df, check))
-            elif check.kind == "populated":
-                parts.append(_populated(df, check))
-            elif check.kind == "relationships":
-                parent = frames.get(check.parent)
-                parts.append(
-                    _absent(spark, check) if parent is None else _relationships(df, parent, check)
-                )
-    status = F.when(F.col("seen") == 0, "SKIP").when(F.col("failures") == 0, "PASS").otherwise("FAIL")
-    return union_all(parts).withColumn("status", status).drop("seen")
+    # emptiness is what a populated check finds, so that one always counts as run
+    ran = (kind == "populated") | (F.col("runs") & (F.coalesce("seen", none) > 0))
+    failed = F.when(ran, F.coalesce(failures, none)).otherwise(none)
+    status = F.when(~ran, "SKIP").when(failed == 0, "PASS").otherwise("FAIL")
+    return found.select("table_name", "column_name", "check_name", failed.alias("failures"), status.alias("status"))
 
 
 def failing_rows(frames: Mapping[str, DataFrame], check: Check) -> DataFrame:

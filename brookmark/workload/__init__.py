@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_GROUPS = ("models", "keyed", "changes", "quality", "signals", "upkeep", "asking")
+_GROUPS = ("models", "keyed", "changes", "quality", "signals", "upkeep", "asking", "layout")
 
 
 def _plain(df: DataFrame) -> DataFrame:

@@ -14,8 +14,6 @@ from brookmark.plans.warehouse import with_raw
 from brookmark.sources import fixture
 from brookmark.sources.extract import valid_batch
 from brookmark.specs import CATALOG, ORDER_STATUSES
-from brookmark.session import stored
-from brookmark.workload.keyed import work_folder
 from brookmark.workload.shapes import AS_OF, with_stages
 
 
@@ -27,17 +25,8 @@ def _frames(spark, d):
     return _models(fixture.operational(spark, d))
 
 
-def _stored_frames(spark, d):
-    """The frames with the raw lines and the fact written once; many checks read each of them."""
-    folder = work_folder(spark)
-    raw = fixture.operational(spark, d)
-    frames = _models(raw.replaced(order_items=stored(raw["order_items"], f"{folder}/raw_order_items")))
-    fact = stored(frames["gold.fact_order_items"], f"{folder}/fact")
-    return frames.replaced(**{"gold.fact_order_items": fact})
-
-
 def dq_report(spark, d):
-    return run_checks(spark, _stored_frames(spark, d), DECLARED_CHECKS)
+    return run_checks(spark, _frames(spark, d), DECLARED_CHECKS)
 
 
 def fk_orphans(spark, d):
@@ -64,7 +53,7 @@ def schema_drift(spark, d):
 
 def unverified_report(spark, d):
     """The report when one layer was never built: its checks are skipped, so nothing is verified."""
-    frames = _stored_frames(spark, d).without("prs.")
+    frames = _frames(spark, d).without("prs.")
     return verdict(run_checks(spark, frames, DECLARED_CHECKS))
 
 

@@ -115,13 +115,12 @@ def test_names_and_text_rules(spark):
 def test_stored_layers_answer_the_demo_queries(spark, raw):
     materialize_models(spark, raw)
     text = """
-        SELECT month_name, category, sum(line_amount) AS revenue
-        FROM gold.dim_date JOIN gold.fact_order_items ON order_date_day = date_day
-        JOIN gold.dim_product USING (product_id)
-        WHERE order_status != 'cancelled' GROUP BY ALL ORDER BY revenue DESC
+        WITH lines AS (SELECT order_date_day AS date_day, count(*) AS n FROM gold.fact_order_items GROUP BY order_date_day)
+        SELECT is_weekend, sum(n) AS n FROM lines NATURAL JOIN gold.dim_date GROUP BY is_weekend
     """
     answer = bounded_query(spark, text)
-    assert answer.rows.first().revenue == D("340.00") and not answer.truncated and row_count(spark, text) == 4
+    assert sum(r.n for r in answer.rows.collect()) == 7 and not answer.truncated
+    assert row_count(spark, text) == answer.rows.count()
     assert spark.table("prs.v_orders").count() == 7
     assert spark.table("prs.v_daily_revenue").first().order_count == 1
     models = build_models(raw)
