@@ -58,23 +58,23 @@ def transform_day(spark: SparkSession, root: str, spec: TableSpec, day: str | No
     """
     wanted = day or f"{date.today():%Y%m%d}"
     landed = read_bronze_day(spark, f"{root}/bronze", spec, wanted)
-    kept = Observation(f"landed_{spec.name}")
-    key = F.col(spec.primary_key)
-    seen = landed.observe(kept, F.count(F.lit(1)).alias("landed"), F.count_if(key.isNull()).alias("keyless"))
-    folder = f"{root.rstrip('/')}/staging/{spec.name}_{wanted}"
-    batch = stored(silver_batch(seen, spec), folder)
-    counts = kept.get
-    if not counts["landed"]:
+    if landed.isEmpty():
         return False
+    kept, key = Observation(f"landed_{spec.name}"), F.col(spec.primary_key)
+    batch = silver_batch(landed.observe(kept, F.count_if(key.isNull()).alias("keyless")), spec)
+    table, columns, version = silver_table(spark, root, spec), SILVER_UPDATE_COLUMNS[spec.name], "updated_at" if guard else None
+    if isinstance(table, AttributeTable):  # stores the batch itself
+        table.merge(batch, columns, version)
+    else:
+        folder = f"{root.rstrip('/')}/staging/{spec.name}_{wanted}"
+        once = stored(batch, folder)
+        table.merge(once, columns, version, keys=once)
+        Folders(spark, folder).delete("")
     rejects, own = Folders(spark, _rejects(root, spec)), f"ingest_date={datetime.strptime(wanted, '%Y%m%d'):%Y-%m-%d}"
-    if counts["keyless"]:
+    if kept.get["keyless"]:
         landed.where(key.isNull()).drop("ingest_date").write.mode("overwrite").partitionBy("run_id").parquet(f"{rejects.root}/{own}")
     else:
         rejects.delete(own)
-    silver_table(spark, root, spec).merge(
-        batch, SILVER_UPDATE_COLUMNS[spec.name], version="updated_at" if guard else None, keys=batch
-    )
-    Folders(spark, folder).delete("")
     return True
 
 

@@ -111,10 +111,10 @@ class AttributeTable:
     # writing
 
     def merge(self, updates: DataFrame, update_columns: tuple[str, ...] = (), version: str | None = "updated_at",
-              keys: DataFrame | None = None, combine: Combine | None = None) -> None:
+              combine: Combine | None = None) -> None:
         """Keyed upsert of a batch that holds each key once (see merge_upsert), or another ``combine``.
 
-        ``keys`` is taken for the sake of SlotTable's signature; the batch is stored before it is used.
+        The batch is stored before it is used, so it is worked out once.
         """
         self.recover()
         names = self.schema.fieldNames()
