@@ -12,28 +12,26 @@ _PUSHED = "spark.sql.parquet.aggregatePushdown"
 
 
 @contextmanager
-def _set(spark: SparkSession, **values: str):
-    before = {k: spark.conf.get(k, None) for k in values}
+def _set(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
     try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
+        spark.conf.set(key, value)
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def bounds(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """One row: ``row_count``, and ``<column>_low`` and ``<column>_high`` of whole-number, float or date columns.
 
     The aggregation is pushed into the scan, which answers it from the statistics of the files' footers and
-    reads no row; Spark itself falls back to reading where a file lacks them.
+    reads no row; Spark itself falls back to reading where a file lacks them. The session's setting for such
+    scans stays on, since plans that hold this one are made later; no other reader looks at it.
     """
-    with _set(spark, **{_READERS: "", _PUSHED: "true"}):
+    spark.conf.set(_PUSHED, "true")
+    with _set(spark, _READERS, ""):
         rows = spark.read.parquet(path)
-        wanted = [F.count(F.lit(1)).alias("row_count")]
-        for name in columns:
-            wanted += [F.min(name).alias(f"{name}_low"), F.max(name).alias(f"{name}_high")]
-        found = rows.agg(*wanted)
-        found._jdf.queryExecution().executedPlan()  # planned while the settings hold
-    return found
+    wanted = [F.count(F.lit(1)).alias("row_count")]
+    for name in columns:
+        wanted += [F.min(name).alias(f"{name}_low"), F.max(name).alias(f"{name}_high")]
+    return rows.agg(*wanted)

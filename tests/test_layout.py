@@ -142,3 +142,10 @@ def test_all_checks_of_a_table_read_it_once(spark, tmp_path):
     ])
     one = run_checks(spark, frames, [c for c in checks if c.kind != "populated" and c.table != "empty" and "absent" not in (c.table, c.parent)])
     assert one._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 4  # two tables, each also behind its row count
+
+
+def test_the_registered_bounds_read_no_row(spark):
+    from brookmark.workload import all_queries
+
+    found = all_queries()["footer_bounds"](spark, "/root/testdata/sf0.001")
+    assert plan_of(found).count("PushedAggregation: [COUNT(*)") == 3
