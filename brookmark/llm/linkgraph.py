@@ -3,15 +3,21 @@
 Hosts are the nodes, links between pages of different hosts the edges (one per ordered pair of
 hosts). Trust starts at hosts in proportion to their pages that a rule allows and flows along links
 (personalised PageRank); distrust starts in proportion to the pages that a rule blocks and flows
-against them, from the linked host back to those that link to it. A host without a rule for a page
-is blocked there if its distrust reaches ``threshold`` and exceeds its trust.
+against them, from the linked host back to those that link to it. Mass shrinks with every step and
+with the number of links that share it, so hosts are not judged by how much they hold but by what it
+is made of: a page without a rule is blocked where distrust is more than ``share`` per cent of its
+host's trust and distrust together (at 50: where blocked pages speak for more of the host than
+allowed ones). ``least`` only keeps out masses so small that rounding down decides them. ``rounds``
+is the length of the longest walk, in links, that counts: hosts farther from every seed keep no mass.
+A host without any mass is allowed.
 
 Masses are whole numbers (UNIT is one full seed), so sums do not depend on the order in which
 tasks finish and a repeated task gives the same verdict.
 
 A null url or one without ``://`` has an empty host and path; it belongs to no host and is allowed.
 Null html has no links. Repeated pages count for their host's seeds each; repeated links are one
-edge. The output has a row for each row of ``pages``.
+edge. The output has a row for each row of ``pages`` and no other column of theirs, so extra columns of any
+name are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -92,7 +98,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = 10, damping: int
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rounds: int = 10, threshold: int = UNIT // 10
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rounds: int = 10, share: int = 50, least: int = UNIT // 1_000_000
 ) -> DataFrame:
     """Every page with ``host``, ``path``, ``rule``, ``verdict``, ``trust`` and ``distrust``."""
     host, path = split_url(F.col("url"))
@@ -118,14 +124,14 @@ def judge(
     # hosts are unique in `scores`; a host with very many pages is split on the pages' side
     joined = ruled.join(scores, F.col("__host") == F.col("of"), "left")
     trust, distrust = (F.coalesce(F.col(c), F.lit(0)) for c in ("trust", "distrust"))
-    spread = F.when((distrust >= threshold) & (distrust > trust), "block").otherwise("allow")
+    spread = F.when((distrust >= least) & (100 * distrust > share * (trust + distrust)), "block").otherwise("allow")
     return joined.select(
         "page_id", F.col("__host").alias("host"), "path", "rule", F.coalesce("said", spread).alias("verdict"),
         trust.alias("trust"), distrust.alias("distrust"),
     )
 
 
-def oracle_sql(rules: Sequence[tuple[str, str, str]] = RULES, rounds: int = 10, damping: int = 85, threshold: int = UNIT // 10) -> str:
+def oracle_sql(rules: Sequence[tuple[str, str, str]] = RULES, rounds: int = 10, damping: int = 85, share: int = 50, least: int = UNIT // 1_000_000) -> str:
     """The same verdicts in SQL, a step to a common table expression."""
     fits = [
         (f"((host = '{at}' or host like '%.{at}') and starts_with(path, '{start}'))", at + start, said)
@@ -167,6 +173,6 @@ scores as (
   from mass{rounds} group by host
 )
 select page_id, r.host, path, rule,
-       coalesce(said, case when distrust >= {threshold} and distrust > trust then 'block' else 'allow' end) as verdict
+       coalesce(said, case when distrust >= {least} and 100 * distrust > {share} * (trust + distrust) then 'block' else 'allow' end) as verdict
 from ruled r left join scores s on r.host = s.host
 """

@@ -96,13 +96,26 @@ def test_verdicts_follow_links(spark):
         (4, None, "<a href=http://b.org>"), (5, "nothing", ""), (6, "http://www.example.com/en/x#y", ""), (7, "http://example.com/en/", ""),
         (8, "http://x.com/", '<a href="//b.org/">'), (9, "http://c.org/", ""),
     ], "page_id long, url string, html string")
-    found = {r["page_id"]: r for r in linkgraph.judge(pages, threshold=linkgraph.UNIT // 20).collect()}
+    found = {r["page_id"]: r for r in linkgraph.judge(pages).collect()}
     assert [found[i]["verdict"] for i in (1, 4, 5, 6, 7, 8, 9)] == ["block", "allow", "allow", "allow", "block", "allow", "allow"]
     assert (found[3]["host"], found[3]["path"], found[7]["rule"]) == ("b.org", "", "example.com/en/")
     assert found[2]["distrust"] > 0 and found[2]["trust"] > 0  # a blocked host is linked, a trusted one links
     assert linkgraph.judge(pages.limit(0)).count() == 0
 
 
+def test_a_host_is_judged_by_what_its_mass_is_made_of(spark):
+    farm = [(i, f"http://farm{i}.org/", '<a href="http://spam.net/fr/">') for i in range(40)]
+    pages = spark.createDataFrame([
+        *farm, (50, "http://spam.net/fr/1", ""), (51, "http://spam.net/de/1", ""), (52, "http://good.com/", '<a href="http://mixed.org/">'),
+        (53, "http://mixed.org/", '<a href="http://other.net/fr/1">'), (57, "http://other.net/es/", ""), (58, "http://other.net/de/", ""), (54, "http://alone.org/", ""), (55, "http://far.org/", '<a href="http://farm3.org/">'),
+        (56, "http://half.net/es/", ""), *[(60 + i, "http://half.net/de/", "") for i in range(9)],
+    ], "page_id long, url string, html string").withColumn("verdict", F.lit("clash")).withColumn("host", F.lit(None).cast("string"))
+    found = {r["page_id"]: r["verdict"] for r in linkgraph.judge(pages).collect()}
+    assert {found[i] for i in range(40)} == {"block"}  # however many share a blocked host's distrust
+    assert found[51] == found[55] == found[60] == "block"  # by its own host, behind a linker, by one page of ten
+    assert found[52] == found[53] == found[54] == "allow"  # a rule, trust above distrust, no mass at all
+
+
 def test_tool_calls(spark):
     calls = spark.createDataFrame([
         (1, "a", "f", '{"n": 1, "b": [2.5]}', None, 0), (1, "a", "f", '{"n": 9}', None, 1), (1, "b", "f", '{"n": "x"}', "a", 2),
