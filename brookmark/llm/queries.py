@@ -41,9 +41,14 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = toolcalls.dialogue_calls(read(spark, sf_dir, "conversations"))
-    return toolcalls.link(calls, results, toolcalls.ASK).select(
-        "conv_id", "call_id", "depth", "answered", "valid", sha_of(F.col("json")).alias("json_sha256")
+    linked = toolcalls.link(calls, results, toolcalls.ASK).select(
+        "conv_id", "call_id", F.lit(False).alias("orphan"), "depth", "answered", "valid", sha_of(F.col("json")).alias("json_sha256")
     )
+    orphans = toolcalls.first_of(toolcalls.orphans(calls, results), "content").select(
+        "conv_id", "call_id", F.lit(True).alias("orphan"), F.lit(None).cast("long").alias("depth"), F.lit(None).cast("boolean").alias("answered"),
+        F.lit(None).cast("boolean").alias("valid"), sha_of(F.col("content")).alias("json_sha256"),
+    )
+    return linked.unionByName(orphans)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,21 +205,30 @@ from d left join words on d.doc_id = words.doc_id left join items on d.doc_id =
 """.replace("LOW_TEXT", _LOWER.format("coalesce(text, '')"))
 
 _OP4 = """
-with calls as (
-  select conv_id, turn, min(json_object('chars', length(text), 'text', text, 'turn', turn)) as args from conversations
-  where role = 'user' and conv_id is not null and turn is not null group by conv_id, turn
+with held as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations where conv_id is not null and turn is not null
+), calls as (
+  select conv_id, turn, min(json_object('chars', length(text), 'text', text, 'turn', turn)) as args,
+         arg_min(length(text), json_object('chars', length(text), 'text', text, 'turn', turn)) as chars, max(length(text)) as most
+  from held where role = 'user' group by conv_id, turn
 ), answers as (
-  select conv_id, turn, min(coalesce(text, '')) as content from conversations
-  where role = 'assistant' and conv_id is not null group by conv_id, turn
+  select conv_id, turn, min(text) as content from held where role <> 'user' group by conv_id, turn
 ), runs as (
   select *, turn // 2 - row_number() over (partition by conv_id, turn % 2 order by turn) as run from calls
 ), deep as (
-  select *, row_number() over (partition by conv_id, turn % 2, run order by turn) - 1 as depth from runs
+  select *, row_number() over same - 1 as place, lead(most) over same as next from runs
+  window same as (partition by conv_id, turn % 2, run order by turn)
+), cycles as (
+  select *, max(case when place = 0 and next > chars then 1 else 0 end) over (partition by conv_id, turn % 2, run) as stuck from deep
 )
-select d.conv_id, concat(d.conv_id, '-', d.turn) as call_id, d.depth, a.content is not null as answered, true as valid,
+select d.conv_id, concat(d.conv_id, '-', d.turn) as call_id, false as orphan, case when stuck = 0 then place end as depth,
+       a.content is not null as answered, chars between 1 and 300 as valid,
        sha256(concat('{"arguments":', d.args, ',"id":"', d.conv_id, '-', d.turn, '","name":"ask","result":',
                      coalesce(cast(to_json(a.content) as varchar), 'null'), '}')) as json_sha256
-from deep d left join answers a on d.conv_id = a.conv_id and a.turn = d.turn + 1
+from cycles d left join answers a on d.conv_id = a.conv_id and a.turn = d.turn + 1
+union all
+select a.conv_id, concat(a.conv_id, '-', a.turn - 1), true, null, null, null, sha256(a.content)
+from answers a anti join calls c on a.conv_id = c.conv_id and a.turn = c.turn + 1
 """
 
 ORACLE = {

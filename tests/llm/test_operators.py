@@ -1,6 +1,7 @@
 """Operators on texts against brute force, edge cases included."""
 
 import base64
+import json
 import random
 import zlib
 from collections import Counter
@@ -129,6 +130,28 @@ def test_tool_calls(spark):
     assert [found[1, c]["valid"] for c in "abcde"] == [True, False, False, False, True]
     assert found[1, "a"]["json"] == '{"arguments":{"b":[2.5],"n":1},"id":"a","name":"f","result":"é\\n"}'
     assert toolcalls.orphans(calls, results).count() == 1
+    assert toolcalls.link(calls.limit(0), results, schemas).count() == 0
+    unanswered = toolcalls.link(calls.withColumn("depth", F.lit("own")).withColumn("valid", F.lit(7)), results.limit(0), schemas)
+    assert {r["answered"] for r in unanswered.collect()} == {False}
+
+
+def test_odd_arguments(spark):
+    deep = '{"n":' * 99 + "{}" + "}" * 99
+    given = [
+        '{"n": null}', '{"n": 3.0}', '{"n": 3.5}', '{"n": true}', '{"n": NaN}', '{"n": 1e400}', '{"n": -Infinity}', '{"n": 1, "s": "\\ud800"}',
+        '{"n": 1, "s": "\\ud83d\\ude00"}', '{"n": 1, "s": ""}', '{"n": 99}', deep, '{"n": ' + deep + "}", '{"n": ' * 100_000, '{"n": ' + "9" * 5000 + "}",
+        '{"n": 1, "k": 1}', '{"n": 1, "k": true}', "[1]", "",
+    ]
+    schema = {"required": ["n"], "properties": {
+        "n": {"type": ["integer", "null", "object"], "maximum": 50}, "s": {"type": "string", "minLength": 1}, "k": {"enum": [True, "x"]},
+    }}
+    calls = spark.createDataFrame([(1, f"{i:02}", "f", g, None, 0) for i, g in enumerate(given)], "conv_id long, call_id string, name string, arguments string, after string, at int")
+    none = spark.createDataFrame([], "conv_id long, call_id string, content string, at int")
+    found = sorted(toolcalls.link(calls, none, {"f": schema}).collect(), key=lambda r: r["call_id"])
+    assert [i for i, r in enumerate(found) if r["valid"]] == [0, 1, 8, 11, 16]
+    for row, text in zip(found, given):
+        held = json.loads(row["json"], parse_constant=lambda _: pytest.fail("not JSON"))["arguments"]
+        assert held == text or held == json.loads(text)
 
 
 @pytest.mark.parametrize("shard", [40_000, 1000, 2])
