@@ -85,6 +85,45 @@ def cluster_by(df: DataFrame, cols: list[str], partitions: int, spread: list[str
     return df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
 
 
+def _rank(x: Column, bounds: list, low: int, high: int) -> Column:
+    """How many of ``bounds`` lie under a value, by halving; NULL has rank 0."""
+    if low == high:
+        return F.lit(low).cast("long")
+    middle = (low + high) // 2
+    return F.when(x > F.lit(bounds[middle]), _rank(x, bounds, middle + 1, high)).otherwise(_rank(x, bounds, low, middle))
+
+
+def _sortable(df: DataFrame, name: str) -> Column:
+    """A column as something that has quantiles; a text stands for its first seven bytes."""
+    if df.schema[name].dataType.simpleString() != "string":
+        return F.col(name)
+    head = F.rpad(F.hex(F.substring(F.encode(name, "UTF-8"), 1, 7)), 14, "0")
+    return F.conv(head, 16, 10).cast("long")
+
+
+def zorder_by(df: DataFrame, cols: list[str], partitions: int, spread: list[str], bits: int = 6) -> DataFrame:
+    """Rows in Z-order of several columns over range partitions, so that a filter on any of them skips files.
+
+    Each column is cut at its ``2 ** bits - 1`` approximate quantiles, found in one scan and the only thing that reaches the
+    driver; the bits of the ranks are interleaved. A value that many rows share covers several ranks, of
+    which its rows take the lowest; ``spread`` (a key) ends the order, so that a full cell is cut into
+    several partitions. Numbers, dates, timestamps and texts may be given; NULL comes first.
+    """
+    if len(cols) * bits > 62:
+        raise ValueError("too many bits for a long")
+    held = {f"_x{i}": _sortable(df, c) for i, c in enumerate(cols)}
+    steps = [i / 2**bits for i in range(1, 2**bits)]
+    marks = df.select(*[x.alias(n) for n, x in held.items()]).agg(*[F.percentile_approx(n, steps).alias(n) for n in held]).first()
+    code = F.lit(0).cast("long")
+    for i, (name, x) in enumerate(held.items()):
+        bounds = marks[name] or []
+        rank = _rank(x, bounds, 0, len(bounds))
+        for bit in range(bits):
+            code = code.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(cols) + i))
+    order = [F.col("_z"), *[F.col(c) for c in spread]]
+    return df.withColumn("_z", code).repartitionByRange(partitions, *order).sortWithinPartitions(*order).drop("_z")
+
+
 def storage_report(df: DataFrame, table: str, day: Column, top: int = 20) -> DataFrame:
     """Bytes, rows, files and day range of a parquet-backed frame (only ``day`` is read)."""
     per_file = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(
@@ -156,13 +195,14 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES,
             F.xxhash64(file_path, F.col("_metadata.row_index")).alias("_deal"),
         )
         .join(plan, F.col("_folder") == F.col("folder"), "left")
-        .withColumn("_file", F.pmod(F.col("_deal"), F.coalesce("need", F.lit(1))))
+        .withColumn("_need", F.coalesce("need", F.raise_error(F.concat(F.lit("no plan for folder "), F.col("_folder"))).cast("int")))
+        .withColumn("_file", F.pmod(F.col("_deal"), F.col("_need")))
     )
     for name in columns:
         value = _decoded(F.regexp_extract("_folder", f"/{name}=([^/]*)", 1))
         rows = rows.withColumn(name, F.when(value != "__HIVE_DEFAULT_PARTITION__", value))
     total = sum(n for _, n in todo)
-    rows = rows.repartition(total, "_folder", "_file").drop("_folder", "folder", "_deal", "need", "_file")
+    rows = rows.repartition(total, "_folder", "_file").drop("_folder", "folder", "_deal", "need", "_need", "_file")
     if order_by:
         rows = rows.sortWithinPartitions(*columns, order_by)
     writer = rows.write.mode("overwrite")

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from brookmark.operators.catalog import column_catalog, filter_catalog
 from brookmark.operators.digests import reconcile_by_digest
 from brookmark.operators.unions import union_all
 from brookmark.plans.lakehouse import read_rejects, silver_table, transform_day
@@ -84,6 +85,14 @@ def mirror_view_after_maintenance(spark, d):
     return spark.table("mirror.orders_current")
 
 
+def current_columns(spark, d):
+    """Columns of the current view of orders, as the catalog of published layers lists them."""
+    root = keyed.work_folder(spark)
+    _month_mirror(spark, d, root)
+    publish(spark, root)
+    return filter_catalog(column_catalog(spark), ["mirror"], "%_current").where(F.col("table_name") == "orders_current")
+
+
 def mirror_status_followed(spark, d):
     """Live orders per status from the change feed; a batch is repeated and old versions come late."""
     mirror = MonthMirror(spark, f"{keyed.work_folder(spark)}/mirror", ORDERS)
@@ -173,6 +182,7 @@ QUERIES = {
     "silver_null_keys": silver_null_keys,
     "mirror_month": mirror_month,
     "mirror_view_after_maintenance": mirror_view_after_maintenance,
+    "current_columns": current_columns,
     "mirror_status_followed": mirror_status_followed,
     "warehouse_no_cursor": warehouse_no_cursor,
     "warehouse_overlap": warehouse_overlap,
@@ -209,6 +219,12 @@ ORACLE = {
         where total_amount > 0 and status is not null and customer_id is not null"""),
     "mirror_month": with_stages(f"select * from raw_orders where ({_LIVE}) and strftime(created_at, '%Y-%m') = '1998-03'"),
     "mirror_view_after_maintenance": with_stages(f"select * from raw_orders where {_LIVE}"),
+    "current_columns": """
+        select 'mirror' as layer, 'orders_current' as table_name, column_name, cast(position as int) as position,
+               case column_name when 'total_amount' then 'decimal(18,2)' when 'status' then 'string'
+                    when 'order_id' then 'bigint' when 'customer_id' then 'bigint' else 'timestamp' end as data_type
+        from (select unnest(names) as column_name, unnest(generate_series(1, len(names))) as position
+              from (select ['order_id', 'customer_id', 'order_date', 'total_amount', 'status', 'created_at', 'updated_at'] as names) n) c""",
     "mirror_status_followed": with_stages(f"select status, count(*) as order_count from raw_orders where {_LIVE} group by 1"),
     "warehouse_no_cursor": _merged(),
     "warehouse_overlap": _merged(f"""where updated_at > (select max(updated_at) - interval '365' day from raw_orders

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ from brookmark.operators import metrics as M
 from brookmark.operators.star import daily_net_revenue
 from brookmark.sources import fixture
 from brookmark.specs import CATALOG
+from brookmark.streaming.alerts import ENDED, hold_stream
 from brookmark.streaming.rates import message_rate
+from brookmark.workload.keyed import work_folder
 from brookmark.workload.shapes import NOW, with_stages
 
 
@@ -51,6 +55,30 @@ def alert_hold(spark, d):
     return M.hold(hourly_gauge(spark, d), "hour", "event_type", F.col("n") >= 3, 7200, max_gap=HOURLY_GAP)
 
 
+def alert_hold_stream(spark, d):
+    """The stretches of ``alert_hold`` from a stream that stops between three loads of samples.
+
+    A last sample of another series lets the time pass after which the open stretches end.
+    """
+    root = work_folder(spark)
+    hourly_gauge(spark, d).write.parquet(f"{root}/gauge")
+    gauge = spark.read.parquet(f"{root}/gauge")
+    ends = gauge.agg(F.percentile_approx("hour", [0.33, 0.66]).alias("cut"), F.max("hour").alias("last")).first()
+    if ends["last"] is None:
+        return M.hold(gauge, "hour", "event_type", F.col("n") >= 3, 7200, max_gap=HOURLY_GAP)
+    first, second = (F.lit(c) for c in ends["cut"])
+    clock = gauge.limit(1).withColumns({"event_type": F.lit("clock"), "hour": F.lit(ends["last"] + timedelta(days=1)), "n": F.lit(0).cast("long")})
+    loads = [gauge.where(F.col("hour") <= first), gauge.where((F.col("hour") > first) & (F.col("hour") <= second)), gauge.where(F.col("hour") > second), clock]
+    for load in loads:
+        load.write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(gauge.schema).parquet(f"{root}/landed")
+        fired = hold_stream(stream, "hour", "event_type", F.col("n") >= 3, 7200, max_gap=HOURLY_GAP)
+        fired.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(
+            f"{root}/fired", format="parquet", outputMode="append"
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/fired").where(F.col("state") == ENDED).drop("state")
+
+
 def ratio_alert(spark, d):
     """Hours in which less than a quarter of the events were clicks, held for an hour or more."""
     hour = F.date_trunc("hour", "ts").alias("hour")
@@ -137,6 +165,7 @@ QUERIES = {
         M.rate(event_counter(spark, d), "minute", "event_type", "value", 300), "rate", digits=9
     ),
     "alert_hold": alert_hold,
+    "alert_hold_stream": alert_hold_stream,
     "ratio_alert": ratio_alert,
     "lag_alert": lag_alert,
     "predict_linear": predicted,
@@ -241,6 +270,7 @@ ORACLE = {
     "event_rate": f"""with {_COUNTER} select event_type, minute, value,
         round(cast({_grown(5)} as double) / 300.0, 9) as rate from deltas""",
     "alert_hold": _held(_HOURLY, "event_type", "n >= 3", 7200),
+    "alert_hold_stream": _held(_HOURLY, "event_type", "n >= 3", 7200),
     "ratio_alert": _held(
         """select 'events' as series, date_trunc('hour', ts) as hour, count(*) as n,
            count(case when event_type = 'click' then 1 end) as clicks from events group by 1, 2""",

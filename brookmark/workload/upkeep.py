@@ -64,6 +64,13 @@ def clustered(spark, d):
     return spark.read.parquet(path)
 
 
+def zordered(spark, d):
+    """Orders in Z-order of day and customer; the rows stay the same."""
+    path = f"{work_folder(spark)}/orders"
+    K.zorder_by(fixture.orders(spark, d), ["order_date", "customer_id"], 16, ["order_id"]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def storage(spark, d):
     reports = [
         K.storage_report(fixture.base(spark, d, "orders"), "orders", F.to_date("o_orderdate")),
@@ -80,6 +87,7 @@ QUERIES = {
     "orphan_files": orphans,
     "compact_table": compacted,
     "cluster_table": clustered,
+    "zorder_table": zordered,
     "storage_report": storage,
 }
 
@@ -102,6 +110,7 @@ ORACLE = {
         and o_orderdate < timestamp '2001-07-27 12:00:00'""",
     "compact_table": with_stages("select * from raw_orders"),
     "cluster_table": with_stages("select * from raw_orders"),
+    "zorder_table": with_stages("select * from raw_orders"),
     "storage_report": """
         select 'orders' as table_name, count(*) as row_count, cast(1 as bigint) as file_count,
                cast(min(o_orderdate) as date) as oldest, cast(max(o_orderdate) as date) as newest, true as has_bytes

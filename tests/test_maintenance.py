@@ -82,3 +82,28 @@ def test_storage_report(spark, tmp_path):
     total = list_files(spark, path).agg(F.sum("bytes")).first()[0]
     assert (row.row_count, row.file_count, row.total_bytes) == (100, 4, total)
     assert str(row.oldest) == "2024-01-01" and str(row.newest) == "2024-04-09"
+
+
+def _files_with(spark, path, name, value):
+    per_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(name).alias("a"), F.max(name).alias("b"))
+    return per_file.where(F.lit(value).between(F.col("a"), F.col("b"))).count()
+
+
+def test_zorder_skips_files_on_either_column(spark, tmp_path):
+    rows = spark.range(20_000).select(
+        "id", F.pmod(F.xxhash64("id"), F.lit(1000)).alias("x"), F.concat(F.lit("t"), F.lpad(F.pmod(F.hash("id"), F.lit(1000)).cast("string"), 3, "0")).alias("y"),
+    )
+    rows = rows.withColumn("x", F.when(F.col("id") % 50 != 0, F.col("x")))
+    K.cluster_by(rows, ["x", "y"], 16, ["id"]).write.parquet(f"{tmp_path}/sorted")
+    K.zorder_by(rows, ["x", "y"], 16, ["id"]).write.parquet(f"{tmp_path}/z")
+    assert spark.read.parquet(f"{tmp_path}/z").exceptAll(rows).count() == 0 == rows.exceptAll(spark.read.parquet(f"{tmp_path}/z")).count()
+    assert _files_with(spark, f"{tmp_path}/sorted", "y", "t500") >= 14
+    assert _files_with(spark, f"{tmp_path}/z", "y", "t500") <= 8 and _files_with(spark, f"{tmp_path}/z", "x", 500) <= 8
+
+
+def test_zorder_of_hot_and_missing_values(spark):
+    hot = spark.range(9000).select("id", F.when(F.col("id") % 3 > 0, F.lit(7.5)).otherwise(F.col("id").cast("double")).alias("x"), F.lit(None).cast("date").alias("y"))
+    cut = K.zorder_by(hot, ["x", "y"], 8, ["id"])
+    sizes = [r["n"] for r in cut.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 2500  # the hot value is cut by the key
+    assert K.zorder_by(hot.limit(0), ["x", "y"], 8, ["id"]).count() == 0
