@@ -5,9 +5,10 @@ so inserting documents appends rows and deleting documents takes theirs away aga
 decision can be recomputed as if a deleted document had never been there. Keys held by enough
 documents are *heavy*. One cuckoo filter per shard of heavy keys stands before the exact table: a
 line is looked up there only if its shard's filter knows it, which spares the join for nearly all
-lines. An insertion or a deletion is a full rebuild: all entries are written again, all keys counted
-and all filters built anew, even for one document. Nothing is updated in place, though a filter's
-fingerprints could be deleted.
+lines. An insertion or a deletion counts only the keys of its documents again: the entries are scanned for
+them, neither sorted nor rewritten, and keys that cross the threshold go into or out of the filters of
+their shards. The number of shards stays that of the first build, so after a corpus has grown many times over it should
+be built again; until then its filters grow.
 
 A key is named by a 128-bit hash of the stripped, lower-cased line. Null and empty texts are one
 empty line. Repeated rows of one ``doc_id`` count once per key and lose the same lines. Rows without
@@ -17,6 +18,7 @@ a ``doc_id`` neither count nor lose lines.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -134,47 +136,94 @@ def postings(docs: DataFrame, min_chars: int = 40) -> DataFrame:
     return map_batches(named, keys, f"hi long, lo long, doc_id {kind}")
 
 
+def _heavy(entries: DataFrame, min_docs: int) -> DataFrame:
+    counted = entries.groupBy("hi", "lo").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
+    return counted.where(F.col("n_docs") >= min_docs)
+
+
 class LineIndex:
     """Reference counts and filters of a set of documents.
 
-    The state is immutable frames in the shared folder: ``entries`` (hi, lo, doc_id), ``counts``
+    The state is frames in the shared folder that never change; an update gives another index that shares most of them: ``entries`` (hi, lo, doc_id), ``counts``
     (hi, lo, n_docs, last_doc) of heavy keys, and ``filters`` (shard, filter).
     """
 
+    #: Updates after which entries and counts, layered until then, are written as a whole.
+    LAYERS = 8
+
     def __init__(self, entries: DataFrame, min_docs: int, min_chars: int, keys_per_shard: int = 1 << 16):
         self.entries, self.min_docs, self.min_chars = entries, min_docs, min_chars
-        self.keys_per_shard = keys_per_shard
-        self.counts = staged(
-            entries.groupBy("hi", "lo")
-            .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
-            .where(F.col("n_docs") >= min_docs)
-        )
+        self.keys_per_shard, self.layers = keys_per_shard, 0
+        self.counts = staged(_heavy(entries, min_docs))
         self.shards = max(1, -(-self.counts.count() // keys_per_shard))
-        self.filters = staged(self._filters())
+        self.filters = staged(self._filters(self.counts))
 
     @classmethod
     def of(cls, docs: DataFrame, min_docs: int = 5, min_chars: int = 40) -> LineIndex:
         return cls(staged(postings(docs, min_chars).distinct()), min_docs, min_chars)
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        """The index with more documents; a document that is already in is not counted again."""
-        both = self.entries.unionByName(postings(docs, self.min_chars)).distinct()
-        return LineIndex(staged(both), self.min_docs, self.min_chars, self.keys_per_shard)
+        """The index with more documents; a document's line that is already in is not counted again."""
+        row = ["hi", "lo", "doc_id"]
+        batch = staged(postings(docs, self.min_chars).distinct())
+        fresh = staged(batch.join(self.entries.join(batch, row, "left_semi"), row, "left_anti"))
+        return self._changed(self.entries.unionByName(fresh), fresh)
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """The index as if these documents had never been inserted."""
-        gone = doc_ids.select(F.col("doc_id").alias("gone")).where("gone is not null").distinct()
-        left = self.entries.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-        return LineIndex(staged(left), self.min_docs, self.min_chars, self.keys_per_shard)
+        gone = staged(doc_ids.select("doc_id").where("doc_id is not null").distinct())
+        lost = staged(self.entries.join(gone, "doc_id", "left_semi").select("hi", "lo", "doc_id"))
+        return self._changed(self.entries.join(gone, "doc_id", "left_anti").select("hi", "lo", "doc_id"), lost)
+
+    def _changed(self, entries: DataFrame, moved: DataFrame) -> LineIndex:
+        """The index over other entries, which differ from these in the keys of ``moved`` only.
 
-    def _filters(self) -> DataFrame:
+        The keys are few beside the entries, so they are what travels: the entries are scanned for them. Keys whose
+        count crosses the threshold go into or out of their shards' filters; the other filters stay.
+        """
+        key = ["hi", "lo"]
+        keys = staged(moved.select(*key).distinct())
+        now = staged(_heavy(entries.join(keys, key, "left_semi"), self.min_docs))
+        before = staged(self.counts.join(keys, key, "left_semi"))
+        made = copy(self)
+        made.entries, made.counts = entries, self.counts.join(keys, key, "left_anti").unionByName(now)
+        made.layers = self.layers + 1
+        if made.layers >= self.LAYERS:
+            made.entries, made.counts, made.layers = staged(made.entries), staged(made.counts), 0
+        came = now.join(before, key, "left_anti").select(self._shard().alias("shard"), "lo", F.lit(True).alias("comes"))
+        went = before.join(now, key, "left_anti").select(self._shard().alias("shard"), "lo", F.lit(False).alias("comes"))
+        made.filters = self._updated(staged(came.unionByName(went)), made.counts)
+        return made
+
+    def _updated(self, changes: DataFrame, counts: DataFrame) -> DataFrame:
+        """All filters after ``changes``; a filter that has no room left is built again from its shard's keys."""
+
+        def update(key: tuple[pa.Scalar, ...], held: pa.Table, rows: pa.Table) -> pa.Table:
+            shard, told = key[0].as_py(), None
+            if held.num_rows:
+                own = CuckooFilter.from_bytes(held.column("filter")[0].as_py())
+                comes = rows.column("comes").to_numpy().astype(bool)
+                low = rows.column("lo").to_numpy().view(np.uint64)
+                whole = all([own.delete(k) for k in low[~comes]]) and all(own.insert(k) for k in low[comes])
+                told = own.to_bytes() if whole else None
+            return pa.table({"shard": pa.array([shard], pa.int32()), "filter": pa.array([told], pa.binary())})
+
+        touched = changes.select("shard").distinct()
+        stored = self.filters.join(touched, "shard", "left_semi").select("shard", "filter")
+        updated = staged(stored.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(update, "shard int, filter binary"))
+        full = updated.where("filter is null").select("shard")
+        again = self._filters(counts.withColumn("shard", self._shard()).join(full, "shard", "left_semi"))
+        kept = self.filters.join(touched, "shard", "left_anti").select("shard", "filter")
+        return staged(kept.unionByName(updated.where("filter is not null")).unionByName(again))
+
+    def _filters(self, counts: DataFrame) -> DataFrame:
         """One filter per shard of heavy keys; keys are distinct and hashed, so shards are even."""
 
         def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
             held = CuckooFilter.of(rows.column("lo").to_numpy().view(np.uint64))
             return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([held.to_bytes()], pa.binary())})
 
-        return self.counts.select(self._shard().alias("shard"), "lo").groupBy("shard").applyInArrow(
+        return counts.select(self._shard().alias("shard"), "lo").groupBy("shard").applyInArrow(
             build, "shard int, filter binary"
         )
 

@@ -207,6 +207,24 @@ def test_line_index_is_reversible(spark, docs, rows):
     assert sorted(back.counts.collect()) == sorted(lineindex.LineIndex.of(part).counts.collect())
 
 
+def test_updates_cross_the_threshold_both_ways(spark):
+    line = "a line of at least forty code points, number "
+    told = spark.createDataFrame([(i, "\n".join(f"{line}{j}" for j in range(i % 4, 12))) for i in range(12)], SCHEMA)
+    index = lineindex.LineIndex.of(told.where("doc_id < 3"), min_docs=5)
+    for ids in ((3, 4, 5), (6,), (7, 8, 9, 10, 11)):
+        index = index.insert(told.where(F.col("doc_id").isin(list(ids))))
+    for gone in (range(8, 12), [0, 5, 99]):
+        index = index.delete(spark.createDataFrame([(i,) for i in gone] + [(None,)], "doc_id long"))
+    left = told.where("doc_id in (1, 2, 3, 4, 6, 7)")
+    whole = lineindex.LineIndex.of(left, min_docs=5)
+    assert sorted(index.counts.collect()) == sorted(whole.counts.collect())
+    held = np.array([r["lo"] for r in index.counts.collect()], np.int64).view(np.uint64)
+    filters = [lineindex.CuckooFilter.from_bytes(r["filter"]) for r in index.filters.collect()]
+    assert len(filters) == 1 and filters[0].contains(held).all()
+    assert (filters[0].table > 0).sum() == len(held) > 0  # those that fell below the threshold are out
+    assert sorted(lineindex.drop_lines(left, index).collect()) == sorted(lineindex.drop_lines(left, whole).collect())
+
+
 def test_cuckoo_filter():
     keys = np.random.default_rng(5).integers(0, 1 << 63, 3000).astype(np.uint64)
     held = lineindex.CuckooFilter.from_bytes(lineindex.CuckooFilter.of(keys).to_bytes())
