@@ -6,7 +6,7 @@
 2. Documents are dealt to blocks by hash. Per block one row for each distinct word gives its training count and how
    often each frequent class stands before and behind it. Sums over blocks give exact counts of all words and the class
    that all their neighbours speak for most: the exchange step for all other words. Both go back to the blocks a word stands in.
-   No task ever holds more vocabulary than its own block has, whatever the corpus.
+   No task ever holds more vocabulary than its own block has, whatever the corpus, nor more of its tokens than a chunk.
 3. Blocks are read a second time, with their words' counts and classes beside them. A document gives
    its class bigrams and the sums of the logarithms that do not depend on totals; the
    transition table (a few hundred rows, from all training documents) completes the scores.
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmark.llm.text import batch_of, packed, raw, signed, staged, unpack, word_hashes
+from brookmark.llm.text import batch_of, packed, raw, signed, staged, unpack, unpack_each, word_hashes
 
 END = np.uint64(0)
 
@@ -163,41 +163,84 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.
         yield at, held
 
 
-def block_words(blocks: DataFrame, frequent, classes: int) -> DataFrame:
+def _sums(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and the sum of each one's numbers."""
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    return code[starts], np.add.reduceat(n, starts)
+
+
+def _learned(parts: list[pa.RecordBatch], chunk: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens of whole documents, about ``chunk`` at a time, and which are learned from; an end stands before them."""
+    texts, learn, size = [np.array([END])], [False], 0  # any document starts after an end
+    for part in parts:
+        for text, use in zip(unpack_each(part.column("packed")), part.column("learn").to_pylist()):
+            texts.append(tokens_of(text))
+            learn.append(use)
+            size += len(texts[-1])
+            if size >= chunk:
+                yield np.concatenate(texts), np.repeat(np.array(learn, bool), [len(t) for t in texts])
+                texts, learn, size = [np.array([END])], [False], 0
+    yield np.concatenate(texts), np.repeat(np.array(learn, bool), [len(t) for t in texts])
+
+
+def block_words(blocks: DataFrame, frequent, classes: int, chunk: int = 250_000, rows: int = 20_000) -> DataFrame:
     """(block, word, n, known, near): each distinct word of a block with its training count there.
 
     ``known`` is a frequent word's class. For the others ``near`` counts the frequent classes beside
     them in training documents: 128 x count + class, and 64 more for the class that comes behind.
+    A block's tokens are counted ``chunk`` by ``chunk``; only the counts of its distinct words are held as a whole.
     """
     shared = blocks.sparkSession.sparkContext.broadcast(frequent[:2])
 
+    def counted(tokens: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct words, their training counts, and the codes (place of the word x 128 + class) with theirs."""
+        names, cls = shared.value
+        words, at = np.unique(tokens, return_inverse=True)
+        kind = np.full(len(words), -1)
+        if len(names):
+            place = np.minimum(np.searchsorted(names, words), len(names) - 1)
+            kind = np.where(names[place] == words, cls[place], -1)
+        near = kind[at]
+        use = train & (near < 0) & (tokens != END)
+        found = []
+        for word, other, on, side in ((at[1:], near[:-1], use[1:], 0), (at[:-1], near[1:], use[:-1], 64)):
+            on = on & (other >= 0)
+            found.append(word[on] * 128 + other[on] + side)
+        code, times = np.unique(np.concatenate(found), return_counts=True)
+        return words, np.bincount(at[train], minlength=len(words)).astype(np.int64), code, times.astype(np.int64)
+
+    def merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        words, n = _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        codes = [np.searchsorted(words, own)[code // 128] * 128 + code % 128 for own, _, code, _ in parts]
+        code, times = np.concatenate(codes), np.concatenate([p[3] for p in parts])
+        return words, n, *(_sums(code, times) if len(code) else (code, times))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, cls = shared.value
         for block, parts in _by_block(batches):
-            texts, learn = [np.array([END])], [False]  # the first document starts after an end, as all others do
-            for part in parts:
-                texts += [tokens_of(t) for t in unpack(part.column("packed"))]
-                learn += part.column("learn").to_pylist()
-            sizes = [len(t) for t in texts]
-            words, at = np.unique(np.concatenate(texts), return_inverse=True)
-            train = np.repeat(np.array(learn, bool), sizes)
-            k = len(words)
-            kind = np.full(k, -1)
+            done, held = [], 0
+            for tokens, train in _learned(parts, chunk):
+                done.append(counted(tokens, train))
+                held += len(done[-1][0]) + len(done[-1][2])
+                if len(done) > 1 and held > 2 * (len(done[0][0]) + len(done[0][2])) + chunk:
+                    done = [merged(done)]
+                    held = len(done[0][0]) + len(done[0][2])
+            del parts
+            words, n, code, times = merged(done)
+            kind = np.full(len(words), -1)
             if len(names):
                 place = np.minimum(np.searchsorted(names, words), len(names) - 1)
                 kind = np.where(names[place] == words, cls[place], -1)
-            near = kind[at]
-            use = train & (near < 0) & (words[at] != END)
-            found = []
-            for word, other, on, side in ((at[1:], near[:-1], use[1:], 0), (at[:-1], near[1:], use[:-1], 64)):
-                on = on & (other >= 0)
-                found.append(word[on] * 128 + other[on] + side)
-            code, times = np.unique(np.concatenate(found), return_counts=True)
-            ends = np.searchsorted(code // 128, np.arange(k + 1)).astype(np.int32)
-            yield batch_of(
-                block=np.full(k, block, np.int64), word=signed(words), n=np.bincount(at[train], minlength=k).astype(np.int64),
-                known=kind.astype(np.int16), near=pa.ListArray.from_arrays(pa.array(ends), pa.array(times * 128 + code % 128, pa.int64())),
-            )
+            ends = np.searchsorted(code // 128, np.arange(len(words) + 1))
+            near = times * 128 + code % 128
+            for at in range(0, len(words), rows):
+                to = min(at + rows, len(words))
+                yield batch_of(
+                    block=np.full(to - at, block, np.int64), word=signed(words[at:to]), n=n[at:to], known=kind[at:to].astype(np.int16),
+                    near=pa.ListArray.from_arrays(pa.array((ends[at : to + 1] - ends[at]).astype(np.int32)), pa.array(near[ends[at] : ends[to]], pa.int64())),
+                )
 
     return blocks.mapInArrow(run, "block long, word long, n long, known short, near array<long>")
 

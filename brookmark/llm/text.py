@@ -144,8 +144,14 @@ def packed(docs: DataFrame, *ids: str, name: str = "packed") -> DataFrame:
 
 
 def unpack(column: pa.Array) -> list[bytes | None]:
+    return list(unpack_each(column))
+
+
+def unpack_each(column: pa.Array) -> Iterator[bytes | None]:
+    """The texts one at a time."""
     expand = zstandard.ZstdDecompressor().decompress
-    return [None if t is None else expand(t) for t in column.to_pylist()]
+    for t in column:
+        yield None if not t.is_valid else expand(t.as_buffer())
 
 
 def sliced(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:

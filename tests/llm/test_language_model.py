@@ -1,11 +1,15 @@
 """Classes and scores of the class-based model against brute force, with one block and with many."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from brookmark.llm import brown
@@ -172,3 +176,51 @@ def test_the_model_is_a_distribution(spark, rows):
         assert mass <= 1 + 1e-9
         if all(moves[:, k].sum() for k in range(end + 1)):
             assert np.isclose(mass, 1)
+
+
+class Plain:
+    """Stands for blocks whose function is run here, where its memory can be seen."""
+
+    sparkSession = sparkContext = property(lambda self: self)
+
+    def broadcast(self, value):
+        return SimpleNamespace(value=value)
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_a_block_is_counted_in_little_memory():
+    """Few distinct words: what is held does not grow with the tokens, and no batch holds all words."""
+    draw = np.random.default_rng(5)
+    names = np.array([f"w{i}" for i in range(3000)])
+    texts = [" ".join(names[draw.integers(0, 3000, 2000)]).encode() for _ in range(600)]
+    squeeze = zstandard.ZstdCompressor().compress
+    batch = pa.record_batch({
+        "block": np.zeros(600, np.int32), "learn": pa.array([i % 5 != 0 for i in range(600)]),
+        "packed": pa.array([squeeze(t) for t in texts], pa.binary()),
+    })
+    often = np.sort(brown.word_hashes([f"w{i}".encode() for i in range(64)]))
+    frequent = (often, np.arange(64) % 4)
+    tracemalloc.start()
+    made = list(brown.block_words(Plain(), frequent, 4)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * 1_200_600
+    words = pa.Table.from_batches(made).to_pydict()
+    counts = Counter(w for i, t in enumerate(texts) for w in brown.tokens_of(t).tolist() if i % 5)
+    assert {np.int64(w).astype(np.uint64).item(): n for w, n in zip(words["word"], words["n"])} == counts
+    where = dict(zip(often.tolist(), frequent[1].tolist()))
+    near = Counter()
+    for i, t in enumerate(texts):
+        if i % 5:
+            tokens = brown.tokens_of(t).tolist()
+            for x, y in zip(tokens, tokens[1:]):
+                if x in where and y not in where and y:
+                    near[y, where[x]] += 1
+                if y in where and x not in where:
+                    near[x, where[y] + 64] += 1
+    found = {(np.int64(w).astype(np.uint64).item(), c % 128): c // 128 for w, cs in zip(words["word"], words["near"]) for c in cs}
+    assert found == near
+    small = pa.Table.from_batches(brown.block_words(Plain(), frequent, 4, chunk=5000, rows=100)(iter([batch])))
+    assert small.to_pydict() == words and max(b.num_rows for b in small.to_batches()) <= 100
