@@ -18,6 +18,7 @@ ways is learned from both ways. Without labelled rows every score is 0.5.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -182,6 +183,10 @@ def _scale(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, fl
     return float(max(w[0], 0.05)), float(w[1])
 
 
+def _bytes(texts: Sequence[bytes | str | None]) -> list[bytes | None]:
+    return [t.encode() if isinstance(t, str) else t for t in texts]
+
+
 def side_by_side(texts: list[bytes | None], cells: int) -> list[np.ndarray]:
     """Texts in groups whose padded matrices have at most so many cells each, or hold one text."""
     lines = np.array([1 if t is None else t.count(b"\n") + 1 for t in texts], np.int64)
@@ -194,8 +199,9 @@ def side_by_side(texts: list[bytes | None], cells: int) -> list[np.ndarray]:
     return groups
 
 
-def quality(texts: list[bytes | None], field: Field, cells: int = 200_000) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Documents' scores and their lines' marginals."""
+def quality(texts: Sequence[bytes | str | None], field: Field, cells: int = 200_000) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Documents' scores and their lines' marginals; texts are UTF-8 bytes or strings."""
+    texts = _bytes(texts)
     scores, lines = np.zeros(len(texts)), [np.zeros(0)] * len(texts)
     for group in side_by_side(texts, cells):
         found, own = _quality([texts[i] for i in group], field)
