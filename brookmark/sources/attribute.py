@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections import defaultdict
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,10 @@ from brookmark.operators.merge import merge_upsert
 from brookmark.sources.files import Folders
 
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-#: (stored rows, batch, places of the batch's keys) -> new rows
-Combine = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
+#: (stored rows or None before the first merge, batch) -> new rows
+Combine = Callable[[DataFrame | None, DataFrame], DataFrame]
+#: Folders that the driver moves at a time.
+_MOVES = 16
 
 
 def _any_of(conditions: list[Column]) -> Column:
@@ -33,7 +36,7 @@ class AttributeTable:
     Slots are a function of the key, as in SlotTable. A map of each key's value lies beside the rows
     (``_keys/slot=<n>``, hidden from readers of the folder). A merge looks its keys up there, reads
     the folders they lie in and those they go to, and rewrites just these; a row whose attribute changed
-    leaves its old folder.
+    leaves its old folder. Of the map it rewrites the slots in which a key is new or moves.
 
     A merge is written aside (``_next``) first. Its last file, the plan, makes it valid; then the driver moves the
     folders in place and deletes those that became empty. A merge without a plan is thrown away by
@@ -111,40 +114,56 @@ class AttributeTable:
     # writing
 
     def merge(self, updates: DataFrame, update_columns: tuple[str, ...] = (), version: str | None = "updated_at",
-              combine: Combine | None = None) -> None:
+              combine: Combine | None = None, stays: Column | None = None) -> None:
         """Keyed upsert of a batch that holds each key once (see merge_upsert), or another ``combine``.
 
-        The batch is stored before it is used, so it is worked out once.
+        The batch is stored before it is used, so it is worked out once. A ``combine`` takes it as it is: it is a stored
+        one then, may hold a key several times, and its rows with ``stays`` leave a stored key where it is. It gives a
+        row for each key of both sides, in the folder the key was in or in one the batch names.
         """
         self.recover()
         names = self.schema.fieldNames()
-        updates.select(*names).write.mode("overwrite").parquet(f"{self.path}/_next/batch")
-        batch = self.spark.read.schema(self._nullable()).parquet(f"{self.path}/_next/batch")
-        slots = [r[0] for r in batch.select(self.slot_of()).distinct().collect()]  # folder names
-        known = self._keys().where(F.col("slot").isin(slots))
-        at = batch.select(self.key, self._encoded().alias("new"), self.slot_of().alias("slot")).join(
-            known.select(self.key, F.col(self.attribute).alias("old"), F.lit(True).alias("there")), self.key, "left"
-        )
-        ends = F.array(F.struct(F.col("new").alias("value")), F.struct(F.when(F.col("there"), F.col("old")).otherwise(F.col("new")).alias("value")))
-        places = {(r[0], r[1]) for r in at.select(F.explode(ends).alias("end"), "slot").select("end.value", "slot").distinct().collect()}
+        batch, stays = updates.select(*names), F.lit(False) if stays is None else stays
+        if combine is None:
+            batch.write.mode("overwrite").parquet(f"{self.path}/_next/batch")
+            batch = self.spark.read.schema(self._nullable()).parquet(f"{self.path}/_next/batch")
+        at = batch.select(self.key, self._encoded().alias("new"), self.slot_of().alias("slot"), stays.alias("stays"))
+        known = None
+        if self.folders.exists("_keys"):
+            slots = [r[0] for r in at.select("slot").distinct().collect()]  # folder names
+            known = self._keys().where(F.col("slot").isin(slots))
+            at = at.join(known.select(self.key, F.col(self.attribute).alias("old"), F.lit(True).alias("there")), self.key, "left")
+            at = at.withColumn("new", F.when(F.col("there") & F.col("stays"), F.col("old")).otherwise(F.col("new")))
+            moves = F.col("there").isNull() | ~F.col("new").eqNullSafe(F.col("old"))
+            old = F.when(F.col("there"), F.col("old")).otherwise(F.col("new"))
+        else:
+            moves, old = F.lit(True), F.col("new")
+        ends = at.select("new", old.alias("old"), "slot", moves.alias("moves")).distinct().collect()  # folder names
+        places = {(r[end], r["slot"]) for r in ends for end in ("new", "old")}
+        moved = sorted({r["slot"] for r in ends if r["moves"]})  # slots whose map of keys changes
         stored = self._rows().where(self._in(places)).withColumn(self.attribute, self._decoded()).select(*names)
         if combine is None:
             merged = merge_upsert(stored, batch, self.key, update_columns, version=version)
         else:
-            old = known.withColumn(self.attribute, self._decoded()).select(self.key, F.col(self.attribute).alias("value"))
-            merged = combine(stored, batch, old)
+            merged = combine(None if known is None else stored, batch)
         (
             merged.select(*names).withColumn("slot", self.slot_of()).withColumn(self.attribute, self._encoded())
             .hint("rebalance", self.attribute, "slot")
             .sortWithinPartitions(self.attribute, "slot", self.order_by)
             .write.partitionBy(self.attribute, "slot").parquet(f"{self.path}/_next/rows")
         )
-        written = self._rows("_next/rows").select(self.key, self.attribute, "slot")
-        gone = known.join(written.select(self.key), self.key, "left_anti").select(self.key, self.attribute, "slot")
-        (
-            gone.unionByName(written).hint("rebalance", "slot").sortWithinPartitions("slot", self.key)
-            .write.partitionBy("slot").parquet(f"{self.path}/_next/keys")
-        )
+        if moved:
+            keys = self._rows("_next/rows").where(F.col("slot").isin(moved)).select(self.key, self.attribute, "slot")
+            if known is not None:
+                # whatever lay in a folder that was read has been written again, so the map's other rows stay as they are
+                folder = F.concat_ws("/", F.coalesce(self.attribute, F.lit(_NULL_FOLDER)), "slot")
+                read = [f"{_NULL_FOLDER if value is None else value}/{slot}" for value, slot in places if slot in set(moved)]
+                rest = known.where(F.col("slot").isin(moved) & ~folder.isin(read))
+                keys = rest.select(*keys.columns).unionByName(keys)
+            (
+                keys.hint("rebalance", "slot").sortWithinPartitions("slot")
+                .write.partitionBy("slot").parquet(f"{self.path}/_next/keys")
+            )
         full = set(self.folders.listed("_next/rows", 2))
         held = {f for f in self.folders.listed("", 2) if self._place(f) in places}
         self.folders.write_text("_next/plan", json.dumps(sorted(held - full)))
@@ -163,10 +182,8 @@ class AttributeTable:
             return
         if self.folders.exists("_next/plan"):
             emptied = json.loads(self.folders.read_text("_next/plan"))
-            for folder in self.folders.listed("_next/rows", 2):
-                self.folders.move(f"_next/rows/{folder}", folder)
-            for folder in emptied:
-                self.folders.delete(folder)
-            for folder in self.folders.listed("_next/keys"):
-                self.folders.move(f"_next/keys/{folder}", f"_keys/{folder}")
+            with ThreadPoolExecutor(_MOVES) as pool:
+                list(pool.map(lambda f: self.folders.move(f"_next/rows/{f}", f), self.folders.listed("_next/rows", 2)))
+                list(pool.map(self.folders.delete, emptied))
+                list(pool.map(lambda f: self.folders.move(f"_next/keys/{f}", f"_keys/{f}"), self.folders.listed("_next/keys")))
         self.folders.delete("_next")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from brookmark.sources.attribute import AttributeTable
 from brookmark.sources.files import Folders
 from brookmark.sources.tables import SlotTable
 from brookmark.specs import TableSpec
-from brookmark.streaming.cdc import DELETED, VERSION, collapse, current, parse_cdc
+from brookmark.streaming.cdc import DELETED, VERSION, collapse, current, parse_cdc, tie_order
 
 #: Number of the log folder that holds the columns and no rows.
 NO_BATCH = -1
@@ -152,21 +154,33 @@ class MonthMirror(Mirror):
     def _month(self) -> Column:
         return F.date_format(self.spec.partition_column, "yyyy-MM")
 
-    def _settle(self, stored: DataFrame, batch: DataFrame, places: DataFrame) -> DataFrame:
-        """Newest version of each key; a tombstone keeps the month its key was in, a row takes its own."""
-        newest = collapse(stored.unionByName(batch), self.spec)
-        met = newest.join(places, self.spec.primary_key, "left")
-        month = F.when(F.col(DELETED), F.coalesce("value", self._month())).otherwise(self._month())
-        return met.withColumn("month", month).drop("value")
+    def _settle(self, stored: DataFrame | None, batch: DataFrame, once: bool) -> DataFrame:
+        """Newest version of each key; a tombstone keeps the month its key was in, a row takes its own.
+
+        ``stored`` holds each key once, ``batch`` as well where it comes from ``once`` log folder alone.
+        """
+        news = batch if once else collapse(batch, self.spec)
+        if stored is None:
+            return news.withColumn("month", self._month())
+        key, ties = self.spec.primary_key, tie_order(batch.columns, self.spec)
+        both = stored.alias("s").join(news.alias("n"), F.col(f"s.{key}") == F.col(f"n.{key}"), "full_outer")
+        # in structs a null is below all values, as in the order of a collapse
+        rank = {side: F.struct(*[F.col(f"{side}.{c}") for c in ties]) for side in "sn"}
+        wins = F.col(f"s.{key}").isNull() | (F.col(f"n.{key}").isNotNull() & (rank["n"] > rank["s"]))
+        rows = [c for c in batch.columns if c != "month"]
+        newest = both.select(*[F.when(wins, F.col(f"n.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in rows], F.col("s.month").alias("was"))
+        month = F.when(F.col(DELETED), F.coalesce("was", self._month())).otherwise(self._month())
+        return newest.withColumn("month", month).drop("was")
 
     def compact(self, upto: int | None = None) -> None:
         """Fold log batches into the base, rewriting only the months and key slots they touch."""
         log = self._log() if upto is None else self._log().where(F.col("batch_id") <= upto)
-        last = log.agg(F.max("batch_id")).first()[0]
+        first, last = log.agg(F.min("batch_id"), F.max("batch_id")).first()
         if last is None:
             return
-        news = collapse(log.where(F.col("batch_id") <= last), self.spec).withColumn("month", self._month())
-        self.base.merge(news, combine=self._settle)
+        news = log.where(F.col("batch_id").between(first, last)).withColumn("month", self._month())
+        settle = partial(self._settle, once=first == last)
+        self.base.merge(news, combine=settle, stays=F.col(DELETED))
         mark = self.spark.createDataFrame([(last,)], "upto long").coalesce(1)
         mark.write.mode("append").parquet(f"{self.path}/folded")
 

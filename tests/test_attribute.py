@@ -76,6 +76,20 @@ def test_only_the_folders_of_the_batch_are_opened(spark, tmp_path):
     assert files and "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
 
 
+def test_the_map_changes_only_where_a_key_is_new_or_moves(spark, tmp_path):
+    own = table(spark, tmp_path)
+    own.merge(frame(spark, [(i, "ab"[i % 2], i, 1) for i in range(30)]), UPDATED, "at")
+    files = lambda: {p.parent.name: p.name for p in (tmp_path / "_keys").rglob("*.parquet")}
+    before = files()
+    own.merge(frame(spark, [(i, "ab"[i % 2], 100 + i, 2) for i in range(30)]), UPDATED, "at")  # none moves
+    assert files() == before and {r.n - r.id for r in own.read().collect()} == {100}
+    own.merge(frame(spark, [(1, "a", 0, 3), (2, "a", 0, 3), (25, "b", 0, 3)]), UPDATED, "at")
+    assert {s for s, name in files().items() if name != before[s]} == {"slot=0"}
+    assert own.places_of(own.read()).count() == 30
+    kinds = {r.id: r.kind for r in own.read().collect()}
+    assert {r.id: r.value for r in own.places_of(own.read()).collect()} == kinds == {i: "a" if i == 1 else "ab"[i % 2] for i in range(30)}
+
+
 @pytest.mark.parametrize("moved", [None, 0, 1, 3, 99])
 def test_a_merge_that_stops_is_finished_or_dropped(spark, tmp_path, monkeypatch, moved):
     """The driver stops before the plan is written (None) or after so many moves."""

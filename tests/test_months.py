@@ -72,6 +72,20 @@ def test_a_month_opens_its_folder_alone(spark, tmp_path):
     assert live(mirror.month("2024-06")) == [(3, "pending")]
 
 
+def test_tombstones_leave_the_map_of_keys_alone(spark, tmp_path):
+    """A compaction of deletes alone rewrites their rows' folders; nothing moves, so the map stays as it is."""
+    mirror = MonthMirror(spark, str(tmp_path), SPEC)
+    send(spark, mirror, 0, made(1, MAY), made(2, JUNE), made(3, JUNE), nulls="keep")
+    mirror.compact()
+    files = lambda part: sorted(p.relative_to(tmp_path) for p in (tmp_path / "base" / part).rglob("*.parquet"))
+    keys, may, june = files("_keys"), files("month=2024-05"), files("month=2024-06")
+    send(spark, mirror, 1, gone(2, 3), nulls="keep")
+    mirror.compact()
+    assert files("_keys") == keys and files("month=2024-05") == may
+    assert files("month=2024-06") != june
+    assert live(mirror.current()) == [(1, "pending"), (3, "pending")] == live(mirror.month("2024-05")) + live(mirror.month("2024-06"))
+
+
 def test_layout_follows_the_specification(spark, tmp_path):
     assert type(mirror_of(spark, str(tmp_path), SPEC)) is MonthMirror
     assert type(mirror_of(spark, str(tmp_path), ACTIVITY)) is Mirror
