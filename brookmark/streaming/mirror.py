@@ -187,19 +187,20 @@ class MonthMirror(Mirror):
     def month(self, month: str) -> DataFrame:
         """Live rows of one month (``yyyy-MM``).
 
-        Of the base its folder is opened, and the folders of keys that the log has news of; all news of
-        the log count, whatever month they are logged under.
+        A live row of the month lies in its folder of the base or has come in the log, dated in the month. So of the
+        base that folder is opened, and the folders of keys that the log names in this month; all news of
+        these keys in the log count, whatever month they are logged under.
         """
-        log = self._log()
+        log, key = self._log(), self.spec.primary_key
         base = self.base.read()
-        moved = self.base.places_of(log)
-        elsewhere = ~F.col("value").eqNullSafe(month)
-        months = [r[0] for r in moved.where(elsewhere).select("value").distinct().collect()]  # folder names
+        named = log.where((self._month() == month) & ~F.col(DELETED)).select(key).distinct()
         own = base.where(F.col("month") == month)
-        # of other months only keys in the log matter, since only these may also stand in this one
-        for other in months:
-            rows = base.where(F.col("month").isNull() if other is None else F.col("month") == other)
-            own = own.unionByName(rows.join(log.select(self.spec.primary_key).distinct(), self.spec.primary_key, "left_semi").select(*own.columns))
+        elsewhere = ~F.col("value").eqNullSafe(month)
+        others = [r[0] for r in self.base.places_of(named).where(elsewhere).select("value").distinct().collect()]  # folder names
+        if others:
+            there = F.col("month").isin([m for m in others if m is not None])
+            rows = base.where(there | F.col("month").isNull() if None in others else there)
+            own = own.unionByName(rows.join(named, key, "left_semi").select(*own.columns))
         versions = own.select(*log.columns).unionByName(log)
         return current(versions, self.spec).where(self._month() == month)
 

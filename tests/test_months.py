@@ -72,6 +72,18 @@ def test_a_month_opens_its_folder_alone(spark, tmp_path):
     assert live(mirror.month("2024-06")) == [(3, "pending")]
 
 
+def test_news_of_other_months_open_no_folder(spark, tmp_path):
+    """Deletes of June's rows, unfolded: May's folder is all that May needs of the base; June still loses them."""
+    mirror = MonthMirror(spark, str(tmp_path), SPEC)
+    send(spark, mirror, 0, made(1, MAY), made(2, JUNE), made(3, JUNE))
+    mirror.compact()
+    send(spark, mirror, 1, gone(2, 3), made(4, JUNE), gone(1, 4), made(5, MAY))
+    plan = mirror.month("2024-05")._jdf.queryExecution().executedPlan().toString()
+    assert "2024-05" in plan and "2024-06" not in plan
+    assert live(mirror.month("2024-05")) == [(5, "pending")]
+    assert live(mirror.month("2024-06")) == [(3, "pending"), (4, "pending")]
+
+
 def test_tombstones_leave_the_map_of_keys_alone(spark, tmp_path):
     """A compaction of deletes alone rewrites their rows' folders; nothing moves, so the map stays as it is."""
     mirror = MonthMirror(spark, str(tmp_path), SPEC)
