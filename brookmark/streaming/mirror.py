@@ -18,6 +18,8 @@ from brookmark.streaming.cdc import DELETED, VERSION, collapse, current, parse_c
 
 #: Number of the log folder that holds the columns and no rows.
 NO_BATCH = -1
+#: Key slots of a month mirror are so many times wider, since their rows part into months.
+MONTHS = 12
 
 
 class Mirror:
@@ -139,6 +141,9 @@ class MonthMirror(Mirror):
     the base gives such a tombstone the month of the row that it ends, and the collapse is by key
     over all folders a key may lie in, so a late delete hides its row in whatever month it was logged.
     A tombstone that comes before its row stays in its own month until the row comes, which it then hides.
+
+    A slot of the base is ``MONTHS`` times as wide as ``width``: keys that do not rise with the date lie in every month,
+    and slots of ``width`` keys would give very many folders of few rows, each with its own file.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, width: int | None = 1_000_000):
@@ -146,7 +151,7 @@ class MonthMirror(Mirror):
             raise ValueError(f"{spec.name} has no partition column")
         super().__init__(spark, path, spec, width)
         stored = T.StructType([*self.schema.fields, T.StructField("month", T.StringType())])
-        self.base = AttributeTable(spark, f"{self.path}/base", spec.primary_key, "month", stored, width)
+        self.base = AttributeTable(spark, f"{self.path}/base", spec.primary_key, "month", stored, width and width * MONTHS)
 
     def _base_folders(self) -> list[tuple[str, T.StructType]]:
         return [("base/month=none/slot=-1", self.schema)]
