@@ -98,6 +98,13 @@ def test_tombstones_leave_the_map_of_keys_alone(spark, tmp_path):
     assert live(mirror.current()) == [(1, "pending"), (3, "pending")] == live(mirror.month("2024-05")) + live(mirror.month("2024-06"))
 
 
+def test_far_keys_of_a_month_share_a_folder(spark, tmp_path):
+    mirror = MonthMirror(spark, str(tmp_path), SPEC)
+    send(spark, mirror, 0, made(1, MAY), made(5_000_000, MAY), made(20_000_000, MAY))
+    mirror.compact()
+    assert Folders(spark, f"{tmp_path}/base").listed("", 2) == ["month=2024-05/slot=0", "month=2024-05/slot=1"]
+
+
 def test_layout_follows_the_specification(spark, tmp_path):
     assert type(mirror_of(spark, str(tmp_path), SPEC)) is MonthMirror
     assert type(mirror_of(spark, str(tmp_path), ACTIVITY)) is Mirror
