@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -129,26 +130,43 @@ class Vocabulary:
 class Encoder:
     """Splits texts into pre-tokens and encodes them.
 
-    A bounded number of pre-tokens is remembered, in two generations: when the young one is full it
-    becomes the old one, and what is met again moves back to the young one.
+    Pre-tokens that are met again are remembered, in two generations of at most ``remember`` bytes each, whatever
+    the input: when the young one is nearly full it becomes the old one, and what is met again moves back to the
+    young one. What is met for the first time leaves only a mark, since most pre-tokens are never met again.
     """
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, remember: int = 700_000):
+    MARKS = 1 << 22  # bytes; one that two pre-tokens share lets the second in early, which costs room only
+    SLOT = 60  # bytes of a dict's entry
+
+    def __init__(self, vocabulary: Vocabulary, pattern: str, remember: int = 24_000_000):
         # \s is spelt out: this library would also take the four ASCII separators as white space
         spaces = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]")
         spaces = spaces.replace(r"\s", r"\p{White_Space}").replace(r"(?!\S)", r"(?!\P{White_Space})")
         self.vocabulary, self.split = vocabulary, regex.compile(spaces).findall
         self.remember, self.young, self.old = remember, {}, {}
+        self.size, self.marks = 0, bytearray(self.MARKS)
 
     def encode(self, text: str) -> list[int]:
-        if len(self.young) > self.remember:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        tokens = self.split(text)
+        if self.size > self.remember * 15 // 16:
+            self.old, self.young, self.size, self.marks = self.young, {}, 0, bytearray(self.MARKS)
+        young, old, marks = self.young, self.old, self.marks
+        tokens, passing = self.split(text), []
         for token in set(tokens).difference(young):
-            ids = old.get(token)
-            young[token] = self.vocabulary.encode_token(token.encode("utf-8")) if ids is None else ids
-        return list(chain.from_iterable(map(young.__getitem__, tokens)))
+            ids, mark = old.get(token), hash(token) % self.MARKS
+            known = ids is not None or marks[mark]
+            marks[mark] = 1
+            young[token] = ids = self.vocabulary.encode_token(token.encode("utf-8")) if ids is None else ids
+            size = getsizeof(token) + getsizeof(ids) + self.SLOT if known else 0
+            if known and self.size + size <= self.remember:
+                self.size += size
+            else:
+                passing.append(token)
+        found = list(chain.from_iterable(map(young.__getitem__, tokens)))
+        for token in passing:
+            del young[token]
+        if len(passing) > len(young):  # a dict keeps the room of what left it
+            self.young = dict(young)
+        return found
 
 
 @lru_cache(maxsize=2)

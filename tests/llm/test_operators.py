@@ -3,6 +3,7 @@
 import base64
 import json
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -245,6 +246,24 @@ def test_tokens(spark, docs, rows, none):
     assert bpe.encode(none, data, public_tokenizers.PATTERN).count() == 0
 
 
+def test_remembered_tokens_take_bounded_memory():
+    """Many distinct pre-tokens, all met again, leave an encoder of at most two generations of 24 MB."""
+    data = rank_file()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder, letters = bpe.Encoder(bpe.Vocabulary.parse(data), public_tokenizers.PATTERN), random.Random(3)
+    for at in range(25):
+        text = " ".join("".join(letters.choices("abcdefghijklmnopqrstuvwxyzé", k=12)) for _ in range(20_000)) + " z" * at
+        for _ in range(2):
+            ids = encoder.encode(text)
+        assert at % 8 or ids == other.encode_ordinary(text)
+        held = sum(sys.getsizeof(k) + sys.getsizeof(v) for d in (encoder.young, encoder.old) for k, v in d.items())
+        assert 0 < held <= 48_000_000, at
+    short = bpe.Encoder(encoder.vocabulary, public_tokenizers.PATTERN, remember=4000)
+    for text in [text[:900], text[500:3000], text[:900], "é" * 9000, "é" * 9000, ""] * 3:
+        assert short.encode(text) == other.encode_ordinary(text) and short.size <= 4000
+
+
 def test_language_model(docs, rows, none):
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
     found = {r["doc_id"]: r for r in brown.score(docs, learn, block_chars=5000).collect()}
